@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import decontamination
+from textloom.llm import decontamination, simhash
 from textloom.llm.common import read
 
 
@@ -12,5 +12,9 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {"op1_decontamination": op1_decontamination}
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(read(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op1_decontamination": op1_decontamination, "op7_simhash": op7_simhash}
 ORACLE_SQL: dict[str, str] = {}
