@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import decontamination, simhash
+from textloom.llm import decontamination, simhash, substrings
 from textloom.llm.common import read
 
 
@@ -16,5 +16,13 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_decontamination": op1_decontamination, "op7_simhash": op7_simhash}
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digest(read(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    "op1_decontamination": op1_decontamination,
+    "op3_substrings": op3_substrings,
+    "op7_simhash": op7_simhash,
+}
 ORACLE_SQL: dict[str, str] = {}
