@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import decontamination, simhash, substrings
+from textloom.llm import decontamination, mixing, simhash, substrings
 from textloom.llm.common import read
 
 
@@ -16,13 +16,18 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read(spark, sf_dir, "documents"))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.digest(read(spark, sf_dir, "documents"))
+
+
 def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(read(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_mixing": op2_mixing,
     "op3_substrings": op3_substrings,
     "op7_simhash": op7_simhash,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op2_mixing": mixing.ORACLE}
