@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import decontamination, mixing, simhash, substrings
+from textloom.llm import decontamination, language_id, mixing, quality_classifier, simhash, substrings
 from textloom.llm.common import read
 
 
@@ -24,10 +24,20 @@ def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(read(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.digest(read(spark, sf_dir, "documents"))
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_mixing": op2_mixing,
     "op3_substrings": op3_substrings,
     "op7_simhash": op7_simhash,
+    "op8_language_id": op8_language_id,
+    "op9_quality_classifier": op9_quality_classifier,
 }
 ORACLE_SQL: dict[str, str] = {"op2_mixing": mixing.ORACLE}
