@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import decontamination, language_id, mixing, quality_classifier, simhash, substrings
+from textloom.llm import decontamination, language_id, mixing, quality_classifier, quality_rules, simhash, substrings
 from textloom.llm.common import read
 
 
@@ -12,6 +12,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.digest(read(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read(spark, sf_dir, "documents"))
 
@@ -36,6 +40,7 @@ QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_mixing": op2_mixing,
     "op3_substrings": op3_substrings,
+    "op4_quality_rules": op4_quality_rules,
     "op7_simhash": op7_simhash,
     "op8_language_id": op8_language_id,
     "op9_quality_classifier": op9_quality_classifier,
