@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import decontamination, language_id, mixing, quality_classifier, quality_rules, simhash, substrings
+from textloom.llm import decontamination, language_id, mixing, pii, quality_classifier, quality_rules, simhash, substrings
 from textloom.llm.common import read
 
 
@@ -36,6 +36,10 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_mixing": op2_mixing,
@@ -44,5 +48,6 @@ QUERIES = {
     "op7_simhash": op7_simhash,
     "op8_language_id": op8_language_id,
     "op9_quality_classifier": op9_quality_classifier,
+    "op10_pii": op10_pii,
 }
 ORACLE_SQL: dict[str, str] = {"op2_mixing": mixing.ORACLE}
