@@ -12,7 +12,8 @@ The prefix grows in two steps, so that unique text costs little:
    with a single leaf hold nothing that repeats and are dropped.
 2. *Deep suffixes.* Only windows whose anchor repeats extend their prefix to all ``window`` words.
 
-Labels are 64-bit (step 1, a false repeat only costs work) and 128-bit (step 2) polynomial hashes of word hashes.
+Labels are polynomial hashes of word hashes, 64 bits in step 1 (a false repeat only costs work) and 96 in step 2.
+Groups of step 2 follow the anchor: equal windows meet, and a document's windows stay together in few groups.
 
 Scale: texts are read in bounded chunks. Within a chunk a leaf that is not the first of its node is settled at
 once and sent to a group picked by document, so a passage that fills a third of all documents brings a group at
@@ -27,6 +28,7 @@ none of them removes the other's equal start); null ids come last; other columns
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -177,7 +179,7 @@ _LEAVES = "_group int, _keys binary, _keys2 binary, _docs binary, _starts binary
 
 
 def _dealt(groups: int, key: np.ndarray, settled: bool, arrays: dict[str, np.ndarray]) -> pa.RecordBatch:
-    """Leaves packed by group."""
+    """Leaves packed by group, in the order of their documents and starts."""
     group = (key % np.uint64(groups)).astype(np.int64)
     order = np.argsort(group, kind="stable")
     used, first = np.unique(group[order], return_index=True)
@@ -186,15 +188,27 @@ def _dealt(groups: int, key: np.ndarray, settled: bool, arrays: dict[str, np.nda
     for i in range(len(used)):
         part = order[bounds[i] : bounds[i + 1]]
         for k in out:
-            out[k].append(arrays[k][part].tobytes() if k in arrays else None)
+            out[k].append(_packed(k, arrays[k][part]) if k in arrays else None)
     cols = {"_group": pa.array(used, pa.int32())} | {k: pa.array(v, pa.binary()) for k, v in out.items()}
     return pa.RecordBatch.from_pydict(cols | {"_settled": pa.array([settled] * len(used), pa.bool_())})
 
 
+def _packed(name: str, values: np.ndarray) -> bytes:
+    """Labels as they are; ids and starts, which run on, as deflated differences."""
+    if name in ("_keys", "_keys2"):
+        return values.tobytes()
+    return zlib.compress(np.diff(values, prepend=values.dtype.type(0)).tobytes(), 1)
+
+
 def _of(blobs: pd.Series, kind: type) -> np.ndarray:
     return np.frombuffer(b"".join(b for b in blobs if b is not None), kind)
 
 
+def _runs(blobs: pd.Series, kind: type) -> np.ndarray:
+    parts = [np.cumsum(np.frombuffer(zlib.decompress(b), kind), dtype=kind) for b in blobs if b is not None]
+    return np.concatenate(parts) if parts else np.empty(0, kind)
+
+
 def _by_document(docs: np.ndarray, values: np.ndarray, group: int) -> pd.DataFrame:
     order = np.argsort(docs, kind="stable")
     used, first = np.unique(docs[order], return_index=True)
@@ -229,10 +243,10 @@ def _sparse(groups: int, window: int, short: int):
 
 def _repeated_anchors(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     settled, still = pdf[pdf["_settled"]], pdf[~pdf["_settled"]]
-    keys, docs = _of(still["_keys"], np.uint64), _of(still["_docs"], np.int64)
+    keys, docs = _of(still["_keys"], np.uint64), _runs(still["_docs"], np.int64)
     _, inverse, count = np.unique(keys, return_inverse=True, return_counts=True)
     many = count[inverse] > 1 if len(keys) else np.zeros(0, bool)
-    docs = np.concatenate([_of(settled["_docs"], np.int64), docs[many]])
+    docs = np.concatenate([_runs(settled["_docs"], np.int64), docs[many]])
     return _by_document(docs, np.concatenate([_of(settled["_keys"], np.uint64), keys[many]]), key[0])
 
 
@@ -252,43 +266,46 @@ def _deep(groups: int, window: int, short: int):
                     wanted[a:b] = np.isin(piece.anchors[a:b], more[r])
                 if wanted.any():
                     lanes = [_labels(piece.words, window, lane)[piece.at[wanted]] for lane in _LANES]
-                    parts.append((*lanes, ids[piece.rows[wanted]], piece.start[wanted].astype(np.int32)))
+                    parts.append((*lanes, ids[piece.rows[wanted]], piece.start[wanted].astype(np.int32), piece.anchors[wanted]))
             if not parts:
                 continue
-            k1, k2, docs, starts = (np.concatenate(x) for x in zip(*parts, strict=True))
+            k1, k2, docs, starts, anchors = (np.concatenate(x) for x in zip(*parts, strict=True))
+            k2 = (k2 >> np.uint64(32)).astype(np.uint32)
             order = np.lexsort((starts, docs, k2, k1))
-            k1, k2, docs, starts = k1[order], k2[order], docs[order], starts[order]
-            later = _later(k1, k2, docs, starts)
-            same = np.zeros(len(k1), bool)  # rows of the same id and start: one leaf is enough
-            same[1:] = (k1[1:] == k1[:-1]) & (k2[1:] == k2[:-1]) & ~later[1:]
-            if later.any():
-                d = docs[later]
-                yield _dealt(groups, _mixed(d.view(np.uint64)), True, {"_docs": d, "_starts": starts[later]})
-            new = ~later & ~same
-            yield _dealt(groups, k1[new] >> np.uint64(20), False, {"_keys": k1[new], "_keys2": k2[new], "_docs": docs[new], "_starts": starts[new]})
+            later, same = _later(k1[order], k2[order], docs[order], starts[order])
+            settled, new = np.sort(order[later]), np.sort(order[~later & ~same])
+            if len(settled):
+                d = docs[settled]
+                yield _dealt(groups, _mixed(d.view(np.uint64)), True, {"_docs": d, "_starts": starts[settled]})
+            leaves = {"_keys": k1[new], "_keys2": k2[new], "_docs": docs[new], "_starts": starts[new]}
+            yield _dealt(groups, anchors[new] >> np.uint64(20), False, leaves)
 
     return run
 
 
-def _later(k1: np.ndarray, k2: np.ndarray, docs: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Of leaves sorted by label, document and start: those after the first leaf of their node."""
+def _later(k1: np.ndarray, k2: np.ndarray, docs: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of leaves sorted by label, document and start: those after their node's first leaf, and those repeating it.
+
+    Equal neighbouring labels are an internal node of the subtree, ``window`` words deep.
+    """
     if not len(k1):
-        return np.zeros(0, bool)
+        return np.zeros(0, bool), np.zeros(0, bool)
     first = np.concatenate([[True], (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])])
     node = np.nonzero(first)[0][np.cumsum(first) - 1]
-    return (docs != docs[node]) | (starts != starts[node])
+    later = (docs != docs[node]) | (starts != starts[node])
+    return later, ~later & ~first
 
 
 def _subtree(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     """Builds a group's subtree and returns the leaves that are not the first of their deep node."""
     settled, still = pdf[pdf["_settled"]], pdf[~pdf["_settled"]]
-    k1, k2 = _of(still["_keys"], np.uint64), _of(still["_keys2"], np.uint64)
-    docs, starts = _of(still["_docs"], np.int64), _of(still["_starts"], np.int32)
+    k1, k2 = _of(still["_keys"], np.uint64), _of(still["_keys2"], np.uint32)
+    docs, starts = _runs(still["_docs"], np.int64), _runs(still["_starts"], np.int32)
     order = np.lexsort((starts, docs, k2, k1))
     docs, starts = docs[order], starts[order]
-    later = _later(k1[order], k2[order], docs, starts)
-    docs = np.concatenate([_of(settled["_docs"], np.int64), docs[later]])
-    return _by_document(docs, np.concatenate([_of(settled["_starts"], np.int32), starts[later]]), key[0])
+    later, _ = _later(k1[order], k2[order], docs, starts)
+    docs = np.concatenate([_runs(settled["_docs"], np.int64), docs[later]])
+    return _by_document(docs, np.concatenate([_runs(settled["_starts"], np.int32), starts[later]]), key[0])
 
 
 def _with_found(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
@@ -296,13 +313,23 @@ def _with_found(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
     return docs.join(found.withColumnRenamed("_id", "_of"), F.col("_id") == F.col("_of"), how).drop("_of")
 
 
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` with the order key ``_id`` and its text as ``_text``; its id column is dropped where ``_id`` gives it back."""
+    key = F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST_ID)).alias("_id")
+    others = [c for c in docs.columns if c not in (id_col, text_col)]
+    return docs.select(key, F.col(text_col).alias("_text"), *[F.col(c).alias(f"_in_{c}") for c in others])
+
+
 def repeat_starts(docs: DataFrame, window: int = 20, short: int = 6, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(``_id``, ``_found``): by document, packed 32-bit starts of windows that also start earlier; parts to gather."""
-    groups = 4 * partitions(docs.sparkSession)
-    docs = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST_ID)).alias("_id"), F.col(text_col).alias("_text"))
-    anchors = docs.mapInArrow(_sparse(groups, window, short), _LEAVES)
+    return _repeat_starts(_keyed(docs.select(id_col, text_col), id_col, text_col), window, short)
+
+
+def _repeat_starts(keyed: DataFrame, window: int, short: int) -> DataFrame:
+    groups = 4 * partitions(keyed.sparkSession)
+    anchors = keyed.select("_id", "_text").mapInArrow(_sparse(groups, window, short), _LEAVES)
     anchors = anchors.groupBy("_group").applyInPandas(_repeated_anchors, "_id long, _found binary")
-    leaves = _with_found(docs, anchors, "inner").mapInArrow(_deep(groups, window, short), _LEAVES)
+    leaves = _with_found(keyed, anchors, "inner").mapInArrow(_deep(groups, window, short), _LEAVES)
     return leaves.groupBy("_group").applyInPandas(_subtree, "_id long, _found binary")
 
 
@@ -322,9 +349,9 @@ def remove_repeats(docs: DataFrame, window: int = 20, short: int = 6, id_col: st
 
     The text's kept words are joined by one space; a text that loses nothing keeps its own spacing.
     """
-    starts = repeat_starts(docs, window, short, id_col, text_col)
-    marked = docs.withColumn("_id", F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST_ID))).withColumnRenamed(text_col, "_text")
-    joined = _with_found(marked, starts, "left")
+    keyed = _keyed(docs, id_col, text_col)
+    # both joins deal the same rows by the same key, so the texts are shuffled once and the exchange is used again
+    joined = _with_found(keyed, _repeat_starts(keyed, window, short), "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -338,14 +365,15 @@ def remove_repeats(docs: DataFrame, window: int = 20, short: int = 6, id_col: st
                 n_removed.append(len(words) - len(left))
                 kept.append(hashlib.sha256(b" ".join(left)).hexdigest())
                 texts.append(text.as_py() if len(left) == len(words) else b" ".join(left).decode())
-            cols = {n: batch.column(n) for n in batch.schema.names if n not in ("_text", "_id", "_more")}
-            cols |= {text_col: pa.array(texts, pa.string()), "_n_words": pa.array(n_words, pa.int64())}
+            cols = {n: batch.column(n) for n in batch.schema.names if n != "_more"}
+            cols |= {"_text": pa.array(texts, pa.string()), "_n_words": pa.array(n_words, pa.int64())}
             cols |= {"_n_removed": pa.array(n_removed, pa.int64()), "_kept_sha256": pa.array(kept, pa.string())}
             yield pa.RecordBatch.from_pydict(cols)
 
-    schema = joined.drop("_text", "_id", "_more").schema.add(text_col, "string").add("_n_words", "long")
-    out = joined.mapInArrow(cut, schema.add("_n_removed", "long").add("_kept_sha256", "string"))
-    return out.select(*docs.columns, "_n_words", "_n_removed", "_kept_sha256")
+    schema = joined.drop("_more").schema.add("_n_words", "long").add("_n_removed", "long").add("_kept_sha256", "string")
+    out = joined.mapInArrow(cut, schema)
+    back = {id_col: F.when(F.col("_id") != _LAST_ID, F.col("_id")).cast(docs.schema[id_col].dataType), text_col: F.col("_text")}
+    return out.select(*[(back[c] if c in back else F.col(f"_in_{c}")).alias(c) for c in docs.columns], "_n_words", "_n_removed", "_kept_sha256")
 
 
 def digest(docs: DataFrame) -> DataFrame:
