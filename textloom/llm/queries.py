@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import decontamination, language_id, mixing, pii, quality_classifier, quality_rules, simhash, substrings
+from textloom.llm import decontamination, language_id, licences, mixing, pii, quality_classifier, quality_rules, simhash, substrings, url_filters
 from textloom.llm.common import read
 
 
@@ -16,6 +16,14 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.digest(read(spark, sf_dir, "documents"))
 
 
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.digest(read(spark, sf_dir, "pages"))
+
+
+def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.digest(read(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read(spark, sf_dir, "documents"))
 
@@ -45,9 +53,15 @@ QUERIES = {
     "op2_mixing": op2_mixing,
     "op3_substrings": op3_substrings,
     "op4_quality_rules": op4_quality_rules,
+    "op5_url_filters": op5_url_filters,
+    "op6_licences": op6_licences,
     "op7_simhash": op7_simhash,
     "op8_language_id": op8_language_id,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_pii": op10_pii,
 }
-ORACLE_SQL: dict[str, str] = {"op2_mixing": mixing.ORACLE}
+ORACLE_SQL: dict[str, str] = {
+    "op2_mixing": mixing.ORACLE,
+    "op5_url_filters": url_filters.ORACLE,
+    "op6_licences": licences.ORACLE,
+}
