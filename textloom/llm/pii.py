@@ -99,20 +99,24 @@ def terms_of(text: Column) -> Column:
 def disclosing_terms(spanned: DataFrame, text_col: str = "text", reach: int = 60, min_contexts: int = 3, min_share: float = 0.5, min_bits: float = 8.0) -> DataFrame:
     """(``term``): terms that reveal an entity, from documents with base spans. ``reach``: characters on each side."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = spanned.select(text.alias("_t"), *[f"_{k}" for k in PATTERNS])
+    rows = spanned.select(text.alias("_t"), F.xxhash64(text).alias("h"), *[f"_{k}" for k in PATTERNS])
     every = F.concat(*[F.col(f"_{k}") for k in PATTERNS])
-    held = rows.where(F.size(every) > 0).select("_t", F.explode(every).alias("x"))
+    held = rows.where(F.size(every) > 0).select("_t", "h", F.explode(every).alias("x"))
     # the word pieces cut off at either end of the reach are not terms
     left = F.regexp_replace(F.substr("_t", F.greatest(F.lit(1), F.col("x.s") - reach + 1), F.least(F.lit(reach), F.col("x.s"))), r"^[^\x20\x09-\x0D]+", "")
     right = F.regexp_replace(F.substr("_t", F.col("x.e") + 1, F.lit(reach)), r"[^\x20\x09-\x0D]+$", "")
     entity = F.substr("_t", F.col("x.s") + 1, F.col("x.e") - F.col("x.s"))
-    contexts = held.select(F.xxhash64(entity).alias("entity"), F.concat_ws(" ", left, right).alias("around"))
-    contexts = stored(contexts.select("entity", "around", F.xxhash64("around").alias("context")).dropDuplicates(["entity", "context"]))
-    pairs = contexts.select("entity", F.explode(terms_of(F.col("around"))).alias("term"))
-    pairs = pairs.groupBy("term", "entity").agg(F.count("*").alias("both")).where(F.col("both") >= min_contexts)
+    contexts = held.select("h", F.xxhash64(entity).alias("entity"), F.concat_ws(" ", left, right).alias("around"))
+    contexts = contexts.groupBy("entity", F.xxhash64("around").alias("context")).agg(F.min("around").alias("around"), F.min("h").alias("h"))
+    contexts = stored(contexts)
+    each = contexts.select("entity", "h", F.explode(terms_of(F.col("around"))).alias("term"))
+    pairs = each.groupBy("term", "entity").agg(F.count("*").alias("both")).where(F.col("both") >= min_contexts)
     pairs = pairs.groupBy("term").agg(F.max(F.struct("both", "entity")).alias("most"))
+    # a term stands in at least as many texts as its contexts come from: most terms fall short of the share already
+    least = each.groupBy("term", "h").count().groupBy("term").agg(F.count("*").alias("least"))
+    pairs = pairs.join(least, "term").where(F.col("most.both") >= F.col("least") * min_share)
     pairs = stored(pairs.select("term", "most.both", "most.entity"))
-    texts = rows.select("_t", F.xxhash64("_t").alias("h"))
+    texts = rows.select("_t", "h")
     marked = texts.select("h", F.explode(terms_of(F.col("_t"))).alias("word"))
     per_term = join_small(marked, pairs.select("term").withColumnRenamed("term", "word"), "word", "left_semi")
     per_term = per_term.groupBy("word", "h").count().groupBy("word").agg(F.count("*").alias("texts"))
