@@ -1,7 +1,7 @@
 """Mixing sources to target weights by hash-threshold histograms.
 
-Every row gets a 48-bit hash of its id. Sizes are summed by source and leading 16 hash bits; the budget's threshold
-lies in one bucket of each source, and only that bucket is summed again by its next 16 bits, then once more. Rows
+Every row gets a 48-bit hash of its id. Sizes are summed by source and leading 8 hash bits; the budget's threshold
+lies in one bucket of each source, and only that bucket is summed again by its next 8 bits, until all 48 are used. Rows
 below the threshold are taken, rows above are not: thresholds nest, so a larger budget keeps what a smaller takes.
 Nothing is sorted by size or hash and no row meets another.
 
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from textloom.llm.common import WORD, join_small, stored
 
-LEVELS, LEVEL_BITS = 3, 16
+LEVELS, LEVEL_BITS = 6, 8
 
 
 def word_count(text: Column) -> Column:
