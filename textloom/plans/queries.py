@@ -284,14 +284,15 @@ _SHINGLES = f"""
 plain AS (SELECT doc_id, {_strip("lower(text)")} AS t FROM documents),
 shingled AS (
   SELECT doc_id, CASE WHEN length(t) < 5 THEN [t] ELSE list_distinct(list_transform(range(1, length(t) - 3), lambda i: substr(t, i, 5))) END AS s FROM plain),
-hashed AS (
+hashed AS MATERIALIZED (
   SELECT doc_id, ('0x' || substr(m, 7, 2) || substr(m, 5, 2) || substr(m, 3, 2) || substr(m, 1, 2))::BIGINT AS h
   FROM (SELECT doc_id, md5(unnest(s)) AS m FROM shingled))"""
 _A, _B = dedup.permutations(128)
 _SIGNED = f"""WITH RECURSIVE {_SHINGLES},
 perms AS (SELECT unnest(range(128)) AS slot, unnest([{", ".join(map(str, _A.tolist()))}])::HUGEINT AS a, unnest([{", ".join(map(str, _B.tolist()))}])::HUGEINT AS b),
-signed AS MATERIALIZED (
-  SELECT doc_id, slot, min((((a * h + b) % {_PRIME}) % 4294967296)::BIGINT) AS value FROM hashed, perms GROUP BY doc_id, slot)"""
+valued AS MATERIALIZED (
+  SELECT h, slot, (((a * h + b) % {_PRIME}) % 4294967296)::BIGINT AS value FROM (SELECT DISTINCT h FROM hashed), perms),
+signed AS MATERIALIZED (SELECT doc_id, slot, min(value) AS value FROM hashed JOIN valued USING (h) GROUP BY doc_id, slot)"""
 _LINKED = f"""{_SIGNED},
 banded AS MATERIALIZED (SELECT doc_id, slot // 8 AS band, string_agg(value::VARCHAR, ',' ORDER BY slot) AS key FROM signed GROUP BY doc_id, slot // 8),
 candidates AS MATERIALIZED (
