@@ -24,16 +24,22 @@ _P, _LOW31, _LOW30 = np.uint64(PRIME), np.uint64((1 << 31) - 1), np.uint64((1 <<
 
 
 def shingles(text: Column, n: int = 5) -> Column:
-    """Distinct character n-grams of the lower-cased, stripped text; the text itself if it is shorter."""
+    """Distinct character n-grams of the lower-cased, stripped text; the text itself if it is shorter.
+
+    A look-ahead reads every position in one pass. Texts with characters beyond the basic plane, of which a regex
+    would also see the halves, take substrings instead, which walk the text again for each position.
+    """
     plain = tx.strip(F.lower(text))
-    bound = lambda t: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(t) - (n - 1)), lambda i: F.substring(t, i, F.lit(n))))
-    return F.element_at(F.transform(F.array(plain), lambda t: F.when(F.length(t) < n, F.array(t)).otherwise(bound(t))), 1)
+    walked = lambda t: F.transform(F.sequence(F.lit(1), F.length(t) - (n - 1)), lambda i: F.substring(t, i, F.lit(n)))
+    read = lambda t: F.regexp_extract_all(t, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))
+    grams = lambda t: F.when(t.rlike(r"[\x{10000}-\x{10FFFF}]"), walked(t)).otherwise(read(t))
+    return F.element_at(F.transform(F.array(plain), lambda t: F.when(F.length(t) < n, F.array(t)).otherwise(F.array_distinct(grams(t)))), 1)
 
 
 def shingle_hash(shingle: Column) -> Column:
     """The first four bytes of the md5, little-endian, as a long."""
-    m = F.md5(shingle.cast("binary"))
-    return F.conv(F.concat(*[F.substring(m, i, 2) for i in (7, 5, 3, 1)]), 16, 10).cast("long")
+    turned = lambda m: F.conv(F.concat(*[F.substring(m, i, 2) for i in (7, 5, 3, 1)]), 16, 10).cast("long")
+    return F.element_at(F.transform(F.array(F.md5(shingle.cast("binary"))), turned), 1)
 
 
 def permutations(count: int = 128, seed: int = 42) -> tuple[np.ndarray, np.ndarray]:
@@ -49,25 +55,56 @@ def _reduced(x: np.ndarray) -> np.ndarray:
     return np.where(x >= _P, x - _P, x)
 
 
-def minhash(hashes: np.ndarray, a: np.ndarray, b: np.ndarray, block: int = 2048) -> np.ndarray:
-    """By permutation, the least of ((a * h + b) mod P) mod 2**32. Products of 93 bits are split at bit 31."""
-    high, low = (a >> np.uint64(31))[:, None], (a & _LOW31)[:, None]
-    best = np.full(len(a), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(hashes), block):
-        h = hashes[None, at : at + block]
-        top = _reduced(high * h)
-        # top * 2**31 modulo P turns the upper 31 bits round to the bottom
-        shifted = (top >> np.uint64(30)) + ((top & _LOW30) << np.uint64(31))
-        value = _reduced(_reduced(shifted + _reduced(low * h)) + b[:, None])
-        best = np.minimum(best, (value & np.uint64(0xFFFFFFFF)).min(axis=1))
-    return best
+def permuted(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """((a * h + b) mod P) mod 2**32 for each hash (rows) and permutation. Products of 93 bits are split at bit 31."""
+    h = hashes[:, None]
+    top = _reduced((a >> np.uint64(31)) * h)
+    # top * 2**31 modulo P turns the upper 31 bits round to the bottom
+    shifted = (top >> np.uint64(30)) + ((top & _LOW30) << np.uint64(31))
+    return (_reduced(_reduced(shifted + _reduced((a & _LOW31) * h)) + b) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
 
 
-def signature_of(text: str, a: np.ndarray, b: np.ndarray, n: int = 5) -> list[int]:
+def shingle_hashes(text: str, n: int = 5) -> np.ndarray:
     plain = text.lower().strip()
     grams = {plain[i : i + n] for i in range(len(plain) - n + 1)} if len(plain) >= n else {plain}
-    digests = b"".join(hashlib.md5(g.encode()).digest()[:4] for g in grams)
-    return minhash(np.frombuffer(digests, "<u4").astype(np.uint64), a, b).astype(np.int64).tolist()
+    return np.frombuffer(b"".join(hashlib.md5(g.encode()).digest()[:4] for g in grams), "<u4")
+
+
+def signatures(texts: list[str], a: np.ndarray, b: np.ndarray, n: int = 5, group: int = 100_000, block: int = 4096) -> list[np.ndarray]:
+    """MinHash signatures. Texts are taken in groups of about ``group`` shingles, each distinct one permuted once."""
+    out: list[np.ndarray] = []
+    held: list[np.ndarray] = []
+
+    def flush() -> None:
+        flat, sizes = np.concatenate(held), [len(h) for h in held]
+        distinct, where = np.unique(flat, return_inverse=True)
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
+        best = np.full((len(held), len(a)), np.iinfo(np.uint32).max, np.uint32)
+        if len(held) == 1:  # one text, however long: block by block
+            for at in range(0, len(distinct), block):
+                best[0] = np.minimum(best[0], permuted(distinct[at : at + block].astype(np.uint64), a, b).min(axis=0))
+        else:
+            values = np.concatenate([permuted(distinct[at : at + block].astype(np.uint64), a, b) for at in range(0, len(distinct), block)])
+            for k in range(len(held)):
+                best[k] = values[where[bounds[k] : bounds[k + 1]]].min(axis=0)
+        out.extend(best)
+        held.clear()
+
+    total = 0
+    for text in texts:
+        h = shingle_hashes(text, n)
+        if held and total + len(h) > group:
+            flush()
+            total = 0
+        held.append(h)
+        total += len(h)
+    if held:
+        flush()
+    return out
+
+
+def signature_of(text: str, a: np.ndarray, b: np.ndarray, n: int = 5) -> list[int]:
+    return signatures([text], a, b, n)[0].astype(np.int64).tolist()
 
 
 def with_signatures(docs: DataFrame, num_perm: int = 128, n: int = 5, text_col: str = "text") -> DataFrame:
@@ -77,7 +114,7 @@ def with_signatures(docs: DataFrame, num_perm: int = 128, n: int = 5, text_col:
     @F.pandas_udf("array<bigint>")
     def sign(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield pd.Series([signature_of(t or "", a, b, n) for t in texts])
+            yield pd.Series([s.astype(np.int64) for s in signatures([t or "" for t in texts], a, b, n)])
 
     return docs.withColumn("signature", sign(F.col(text_col))).drop(text_col)
 

@@ -26,16 +26,14 @@ def sentence_repetition_ratio(text: Column) -> Column:
     return F.when(F.size(said) < 2, F.lit(0.0)).otherwise(F.coalesce(_lost(F.transform(said, F.lower)), F.lit(0.0)))
 
 
-def synthetic_score(text: Column) -> Column:
-    """From 0 to 1: penalties, subtracted in this order, for few letters, white space, no sentences and repetition."""
-    grams, said = repetition_ratio(text), sentence_repetition_ratio(text)
+def _score(text: Column, grams: Column, said: Column, n_sentences: Column) -> Column:
     some = lambda test, weight: F.when(test, F.lit(weight))
     zero = F.lit(0.0)
     score = F.lit(1.0)
     for penalty in (
         some(tx.share_in(text, r"\p{L}") < F.lit(0.5), 0.3),
         some(tx.share_in(text, tx.SPACE) > F.lit(0.4), 0.2),
-        some((F.size(tx.sentences(text)) < 2) & (F.length(text) > 200), 0.2),
+        some((n_sentences < 2) & (F.length(text) > 200), 0.2),
         some(grams > F.lit(0.3), 0.3).when(grams > F.lit(0.15), F.lit(0.15)),
         some(said > F.lit(0.3), 0.3),
     ):
@@ -43,26 +41,48 @@ def synthetic_score(text: Column) -> Column:
     return F.when(tx.is_blank(text), zero).otherwise(F.greatest(zero, score))
 
 
-def check(text: Column, min_length: int = 50, max_length: int = 10_000, min_score: float = 0.5, max_repetition: float = 0.4) -> Column:
-    """``passed``, or the first of ``too_short``, ``too_long``, ``too_repetitive`` and ``low_quality``."""
+def synthetic_score(text: Column) -> Column:
+    """From 0 to 1: penalties, subtracted in this order, for few letters, white space, no sentences and repetition."""
+    return _score(text, repetition_ratio(text), sentence_repetition_ratio(text), F.size(tx.sentences(text)))
+
+
+def _reason(text: Column, grams: Column, score: Column, min_length: int = 50, max_length: int = 10_000, min_score: float = 0.5, max_repetition: float = 0.4) -> Column:
     return (
         F.when(F.length(text) < min_length, "too_short")
         .when(F.length(text) > max_length, "too_long")
-        .when(repetition_ratio(text) > F.lit(max_repetition), "too_repetitive")
-        .when(synthetic_score(text) < F.lit(min_score), "low_quality")
+        .when(grams > F.lit(max_repetition), "too_repetitive")
+        .when(score < F.lit(min_score), "low_quality")
         .otherwise("passed")
     )
 
 
+def check(text: Column, **limits) -> Column:
+    """``passed``, or the first of ``too_short``, ``too_long``, ``too_repetitive`` and ``low_quality``.
+
+    Limits: ``min_length`` 50, ``max_length`` 10000, ``min_score`` 0.5, ``max_repetition`` 0.4.
+    """
+    return _reason(text, repetition_ratio(text), synthetic_score(text), **limits)
+
+
+def with_checks(examples: DataFrame, field: str = "answer", **limits) -> DataFrame:
+    """Adds ``_score`` and ``_reason``. Each measure of the text is a column of its own, so it is computed once."""
+    text = F.coalesce(F.col(field), F.lit(""))
+    rows = examples.withColumns({"_grams": repetition_ratio(text), "_sentences": tx.sentences(text)})
+    said = F.when(F.size("_sentences") < 2, F.lit(0.0)).otherwise(F.coalesce(_lost(F.transform("_sentences", F.lower)), F.lit(0.0)))
+    rows = rows.withColumns({"_said": said, "_n": F.size("_sentences")})
+    rows = rows.withColumn("_score", _score(text, F.col("_grams"), F.col("_said"), F.col("_n")))
+    return rows.withColumn("_reason", _reason(text, F.col("_grams"), F.col("_score"), **limits)).drop("_grams", "_sentences", "_said", "_n")
+
+
 def filter_examples(examples: DataFrame, field: str = "answer", **limits) -> DataFrame:
     """Examples whose ``field`` passes, with ``quality_score`` replaced by its score."""
-    text = F.coalesce(F.col(field), F.lit(""))
-    return examples.where(check(text, **limits) == "passed").withColumn("quality_score", synthetic_score(text))
+    rows = with_checks(examples, field, **limits).where(F.col("_reason") == "passed")
+    return rows.withColumn("quality_score", F.col("_score")).drop("_score", "_reason")
 
 
 def check_stats(examples: DataFrame, field: str = "answer", **limits) -> DataFrame:
     """One row: total, passed, counts by reason, and pass_rate; add rows of several calls to accumulate."""
-    rows = examples.select(check(F.coalesce(F.col(field), F.lit("")), **limits).alias("reason"))
+    rows = with_checks(examples.select(field), field, **limits).select(F.col("_reason").alias("reason"))
     count = lambda r: F.coalesce(F.sum((F.col("reason") == r).cast("long")), F.lit(0)).cast("long")
     out = rows.agg(F.count("*").alias("total"), *[count(r).alias(r) for r in ("passed", "too_short", "too_long", "too_repetitive", "low_quality")])
     return out.withColumn("pass_rate", F.col("passed").cast("double") / F.greatest(F.col("total"), F.lit(1)))

@@ -7,6 +7,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textloom.functions import text as tx
 
@@ -20,14 +21,15 @@ def term_counts(docs: DataFrame, max_n: int = 3, text_col: str = "text", ord_col
     and task to the second shuffle and not one an occurrence.
     """
     tokens = docs.select(F.col(ord_col).alias("ord"), tx.term_tokens(F.coalesce(F.col(text_col), F.lit(""))).alias("tokens"))
+    # places are one long, (n, position), and numeric order keys one decimal: hash aggregation cannot hold structs
     grams = F.concat(*[
-        F.transform(tx.ngrams(F.col("tokens"), n), lambda g, i: F.struct(g.alias("term"), F.lit(n).alias("n"), i.alias("i"))) for n in range(1, max_n + 1)
+        F.transform(tx.ngrams(F.col("tokens"), n), lambda g, i: F.struct(g.alias("term"), (F.lit(n << 40) + i).alias("at"))) for n in range(1, max_n + 1)
     ])
     rows = tokens.select("ord", F.inline(grams))
-    by_doc = rows.groupBy("term", "ord").agg(F.count("*").alias("c"), F.min(F.struct("n", "i")).alias("at"))
-    return by_doc.groupBy("term").agg(
-        F.sum("c").alias("frequency"), F.count("*").alias("document_frequency"), F.min(F.struct("ord", "at")).alias("first")
-    )
+    by_doc = rows.groupBy("term", "ord").agg(F.count("*").alias("c"), F.min("at").alias("at"))
+    whole = isinstance(docs.schema[ord_col].dataType, T.IntegralType)
+    place = F.col("ord").cast("decimal(20,0)") * F.lit(1 << 45).cast("decimal(15,0)") + F.col("at") if whole else F.struct("ord", "at")
+    return by_doc.groupBy("term").agg(F.sum("c").alias("frequency"), F.count("*").alias("document_frequency"), F.min(place).alias("first"))
 
 
 def tfidf(docs: DataFrame, min_frequency: int = 100, max_n: int = 3, min_length: int = 3, text_col: str = "text", ord_col: str = "doc_id") -> DataFrame:

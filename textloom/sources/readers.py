@@ -35,13 +35,19 @@ def _blank(value: Column) -> Column:
     return ~value.rlike(r"(?U)[^\s\x1C-\x1F]")
 
 
+def _parsed(spark: SparkSession, path: str) -> DataFrame:
+    """(ord, value, v): non-blank lines as variants. Blank ones are null first, as filters may run in any order."""
+    rows = _lines(spark, path).where(~_blank(F.col("value")))
+    return rows.withColumn("v", F.parse_json(F.when(~_blank(F.col("value")), F.col("value"))))
+
+
 def read_jsonl_documents(spark: SparkSession, path: str, source_name: str = "local") -> DataFrame:
     """(ord, text, doc_id, source, metadata) from JSON lines.
 
     Blank lines are skipped but count: a missing doc_id is the line's place. A missing source is ``source_name``.
     ``metadata`` is the line's own, as text to text, with all further keys on top. Malformed JSON fails the query.
     """
-    rows = _lines(spark, path).where(~_blank(F.col("value"))).withColumn("v", F.parse_json("value"))
+    rows = _parsed(spark, path)
     get = lambda key: F.variant_get("v", f"$.{key}", "string")
     flat = F.from_json("value", "map<string,string>")
     inner = F.coalesce(F.from_json(get("metadata"), "map<string,string>"), F.create_map().cast("map<string,string>"))
@@ -107,10 +113,6 @@ def read_sources(spark: SparkSession, sources: list[dict], max_documents: int |
     return out.orderBy("src", "ord").limit(max_documents) if max_documents else out
 
 
-def _json(spark: SparkSession, path: str) -> DataFrame:
-    return _lines(spark, path).where(~_blank(F.col("value"))).withColumn("v", F.parse_json("value"))
-
-
 def _field(key: str, kind: str = "string") -> Column:
     return F.variant_get("v", f"$.{key}", kind)
 
@@ -124,17 +126,17 @@ def read_questions(spark: SparkSession, path: str, max_examples: int | None = No
 
 
 def read_clauses(spark: SparkSession, path: str, max_examples: int | None = None) -> DataFrame:
-    out = _json(spark, path).select("ord", *[_field(k).alias(k) for k in ("text", "label", "context")])
+    out = _parsed(spark, path).select("ord", *[_field(k).alias(k) for k in ("text", "label", "context")])
     return out.orderBy("ord").limit(max_examples) if max_examples else out
 
 
 def read_prompts(spark: SparkSession, path: str) -> DataFrame:
-    return _json(spark, path).select("ord", _field("prompt").alias("prompt"), _field("expected_terms", "array<string>").alias("expected_terms"))
+    return _parsed(spark, path).select("ord", _field("prompt").alias("prompt"), _field("expected_terms", "array<string>").alias("expected_terms"))
 
 
 def read_qa_pairs(spark: SparkSession, path: str) -> DataFrame:
     """Pairs that have a question and an answer, with defaults for the rest."""
-    rows = _json(spark, path).where(_field("question").isNotNull() & _field("answer").isNotNull())
+    rows = _parsed(spark, path).where(_field("question").isNotNull() & _field("answer").isNotNull())
     return rows.select(
         "ord", _field("question").alias("question"), _field("answer").alias("answer"), F.coalesce(_field("source_doc_id"), F.lit("")).alias("source_doc_id"),
         F.coalesce(_field("category"), F.lit("qa")).alias("category"), F.coalesce(_field("quality_score", "double"), F.lit(1.0)).alias("quality_score"),
