@@ -59,6 +59,17 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def by_text_batches(docs: DataFrame, rows: int = 1_000) -> DataFrame:
+    """``docs``, after bounding the rows of an Arrow batch where the session has Spark's default.
+
+    Ten thousand texts a batch would stand several times over in a task's JVM and Python memory.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(docs.sparkSession.conf.get(key)) == 10_000:
+        docs.sparkSession.conf.set(key, str(rows))
+    return docs
+
+
 def join_small(big: DataFrame, small: DataFrame, key: str, how: str = "inner", salts: int = 32, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Joins ``small`` (one row per key) to ``big``; nulls in the key match each other.
 

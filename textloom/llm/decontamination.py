@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textloom.llm.common import by_text_batches
+
 #: Bytes outside words become spaces, A-Z become a-z; bytes from 0x80 belong to words.
 _FOLD = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
@@ -191,7 +193,7 @@ def find_overlaps(docs: DataFrame, items: DataFrame, window: int = 8, text_col:
     for k, block in enumerate(blocks):
         text_on = keep_text or k + 1 < len(blocks)
         schema = out.schema if text_on else out.drop("_text").schema
-        out = out.mapInArrow(_matcher(block, window, text_on), schema)
+        out = by_text_batches(out).mapInArrow(_matcher(block, window, text_on), schema)
     return out.withColumnRenamed("_text", text_col)
 
 
@@ -263,7 +265,7 @@ def remove_overlaps(docs: DataFrame, items: DataFrame, window: int = 8, max_cove
     found = found.where(covered <= F.col("_n_words") * F.lit(float(max_coverage))).drop("_items", "_n_words")
     found = found.withColumnRenamed(text_col, "_text")
     schema = found.drop("_hits", "_text").schema.add("_text", "string")
-    return found.mapInArrow(_cutter(window), schema).withColumnRenamed("_text", text_col).select(*docs.columns)
+    return by_text_batches(found).mapInArrow(_cutter(window), schema).withColumnRenamed("_text", text_col).select(*docs.columns)
 
 
 def digest(docs: DataFrame, items: DataFrame) -> DataFrame:

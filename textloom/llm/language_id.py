@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import crc_fold
+from textloom.llm.common import by_text_batches, crc_fold
 
 WINDOW, WIDTHS, FILTERS, EMBED = 256, (2, 3, 4), 16, 8
 #: Windows whose responses are computed at a time.
@@ -173,7 +173,7 @@ def predict(docs: DataFrame, net: ByteConvNet, text_col: str = "text") -> DataFr
             cols |= {"lang_pred": pa.array(langs, pa.string()), "score": pa.array(scores, pa.float64())}
             yield pa.RecordBatch.from_pydict(cols)
 
-    return docs.mapInArrow(run, docs.drop(text_col).schema.add("lang_pred", "string").add("score", "double"))
+    return by_text_batches(docs).mapInArrow(run, docs.drop(text_col).schema.add("lang_pred", "string").add("score", "double"))
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.llm.common import crc_fold, stored
+from textloom.llm.common import by_text_batches, crc_fold, stored
 
 _UPPER, _LOWER, _DIGIT = bytes(range(65, 91)), bytes(range(97, 123)), bytes(range(48, 58))
 _SYMBOLS, _STOPS = b"#*$%&|<>", b".!?"
@@ -136,7 +136,7 @@ def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
             stats = pa.array(list(_statistics_of(batch.column(text_col))), pa.list_(pa.float64()))
             yield pa.RecordBatch.from_pydict({n: batch.column(n) for n in batch.schema.names if n != text_col} | {"_stats": stats})
 
-    return docs.mapInArrow(run, docs.drop(text_col).schema.add("_stats", T.ArrayType(T.DoubleType())))
+    return by_text_batches(docs).mapInArrow(run, docs.drop(text_col).schema.add("_stats", T.ArrayType(T.DoubleType())))
 
 
 def train(stats: DataFrame, labels: DataFrame, learn: Column, label: str = "quality", max_rows: int = 20_000, shrinkage: float = 0.1) -> Discriminant:
@@ -165,7 +165,7 @@ def with_scores(docs: DataFrame, model: Discriminant, column: str, threshold: fl
             yield pa.RecordBatch.from_pydict(cols)
 
     docs = docs.drop("score", "predicted")
-    return docs.mapInArrow(run, docs.drop("_stats").schema.add("score", "double").add("predicted", "integer"))
+    return by_text_batches(docs).mapInArrow(run, docs.drop("_stats").schema.add("score", "double").add("predicted", "integer"))
 
 
 def held_out(doc_id: Column) -> Column:

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import connected_components, stored
+from textloom.llm.common import by_text_batches, connected_components, stored
 
 BITS = 64
 
@@ -66,7 +66,7 @@ def with_fingerprints(docs: DataFrame, size: int = 3, seed: int = 42, text_col:
             yield pa.RecordBatch.from_pydict(cols | {"_fp": pa.array(fps, pa.int64())})
 
     schema = (docs if keep_text else docs.drop(text_col)).schema.add("_fp", "long")
-    return docs.mapInArrow(run, schema)
+    return by_text_batches(docs).mapInArrow(run, schema)
 
 
 def covering_masks(radius: int = 2) -> list[int]:

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import partitions
+from textloom.llm.common import by_text_batches, partitions
 
 #: Text bytes whose suffixes are held at a time, and bytes hashed at a time.
 CHUNK, PIECE = 8 << 20, 1 << 20
@@ -327,9 +327,9 @@ def repeat_starts(docs: DataFrame, window: int = 20, short: int = 6, id_col: str
 
 def _repeat_starts(keyed: DataFrame, window: int, short: int) -> DataFrame:
     groups = 4 * partitions(keyed.sparkSession)
-    anchors = keyed.select("_id", "_text").mapInArrow(_sparse(groups, window, short), _LEAVES)
+    anchors = by_text_batches(keyed.select("_id", "_text")).mapInArrow(_sparse(groups, window, short), _LEAVES)
     anchors = anchors.groupBy("_group").applyInPandas(_repeated_anchors, "_id long, _found binary")
-    leaves = _with_found(keyed, anchors, "inner").mapInArrow(_deep(groups, window, short), _LEAVES)
+    leaves = by_text_batches(_with_found(keyed, anchors, "inner")).mapInArrow(_deep(groups, window, short), _LEAVES)
     return leaves.groupBy("_group").applyInPandas(_subtree, "_id long, _found binary")
 
 
@@ -371,7 +371,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, short: int = 6, id_col: st
             yield pa.RecordBatch.from_pydict(cols)
 
     schema = joined.drop("_more").schema.add("_n_words", "long").add("_n_removed", "long").add("_kept_sha256", "string")
-    out = joined.mapInArrow(cut, schema)
+    out = by_text_batches(joined).mapInArrow(cut, schema)
     back = {id_col: F.when(F.col("_id") != _LAST_ID, F.col("_id")).cast(docs.schema[id_col].dataType), text_col: F.col("_text")}
     return out.select(*[(back[c] if c in back else F.col(f"_in_{c}")).alias(c) for c in docs.columns], "_n_words", "_n_removed", "_kept_sha256")
 
