@@ -37,6 +37,11 @@ def share_in(text: Column, chars: str) -> Column:
     return count_in(text, chars).cast("double") / F.greatest(F.length(text), F.lit(1))
 
 
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used; never null for a null value."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def array_sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0).cast("long"), lambda a, x: a + x)
 

@@ -18,26 +18,29 @@ SAMPLE_CHARS, ENGLISH_SHARE = 1000, 0.08
 def guess_language(text: Column) -> Column:
     """``en`` if over 8 % of the ASCII words among the first 1000 characters are frequent English ones, else ``unknown``."""
     found = F.regexp_extract_all(F.lower(F.substring(text, 1, SAMPLE_CHARS)), F.lit(r"(?U)\b[a-z]+\b"), F.lit(0))
-    known = F.size(F.filter(found, lambda w: w.isin(*ENGLISH_WORDS))).cast("double")
-    return F.when(known / F.nullif(F.size(found), F.lit(0)) > F.lit(ENGLISH_SHARE), "en").otherwise("unknown")
+    known = lambda ws: F.size(F.filter(ws, lambda w: w.isin(*ENGLISH_WORDS))).cast("double")
+    share = tx.bound(found, lambda ws: known(ws) / F.nullif(F.size(ws), F.lit(0)))
+    return F.when(share > F.lit(ENGLISH_SHARE), "en").otherwise("unknown")
 
 
 def quality_score(text: Column) -> Column:
     """From 0 to 1: penalties, subtracted in this order, for odd characters, repeated lines, short lines and spaces."""
-    lines = F.split(tx.strip(text), "\n", -1)
-    filled = F.filter(lines, lambda x: ~tx.is_blank(x))
-    distinct = F.size(F.array_distinct(F.transform(filled, tx.strip))).cast("double")
-    mean_line = tx.array_sum(F.transform(filled, F.length)).cast("double") / F.nullif(F.size(filled), F.lit(0))
-    penalties = [
-        (tx.share_in(text, r"\p{L}\p{N}" + tx.SPACE) < F.lit(0.7), 0.3),
-        ((F.size(lines) > 5) & (distinct / F.size(lines) < F.lit(0.5)), 0.3),
-        (mean_line < F.lit(20.0), 0.2),
-        (tx.share_in(text, " ") > F.lit(0.4), 0.1),
-    ]
-    score = F.lit(1.0)
-    for test, weight in penalties:
-        score = score - F.when(test, F.lit(weight)).otherwise(F.lit(0.0))
-    return F.when(F.coalesce(text, F.lit("")) == "", F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)))
+
+    def penalised(lines: Column, filled: Column) -> Column:
+        distinct = F.size(F.array_distinct(F.transform(filled, tx.strip))).cast("double")
+        mean_line = tx.array_sum(F.transform(filled, F.length)).cast("double") / F.nullif(F.size(filled), F.lit(0))
+        score = F.lit(1.0)
+        for test, weight in (
+            (tx.share_in(text, r"\p{L}\p{N}" + tx.SPACE) < F.lit(0.7), 0.3),
+            ((F.size(lines) > 5) & (distinct / F.size(lines) < F.lit(0.5)), 0.3),
+            (mean_line < F.lit(20.0), 0.2),
+            (tx.share_in(text, " ") > F.lit(0.4), 0.1),
+        ):
+            score = score - F.when(test, F.lit(weight)).otherwise(F.lit(0.0))
+        return F.greatest(F.lit(0.0), F.least(F.lit(1.0), score))
+
+    by_line = lambda lines: tx.bound(F.filter(lines, lambda x: ~tx.is_blank(x)), lambda filled: penalised(lines, filled))
+    return F.when(F.coalesce(text, F.lit("")) == "", F.lit(0.0)).otherwise(tx.bound(F.split(tx.strip(text), "\n", -1), by_line))
 
 
 def drop_reason(text: Column, min_length: int = 500, max_length: int = 50_000, language: str = "en", min_score: float = 0.4) -> Column:
@@ -47,8 +50,7 @@ def drop_reason(text: Column, min_length: int = 500, max_length: int = 50_000, l
     """
     reason = F.when(F.length(text) < min_length, "too_short").when(F.length(text) > max_length, "too_long")
     if language:
-        guess = guess_language(text)
-        reason = reason.when((guess != language) & (guess != "unknown"), "language")
+        reason = reason.when(~guess_language(text).isin(language, "unknown"), "language")
     return reason.when(quality_score(text) < F.lit(min_score), "quality")
 
 

@@ -10,20 +10,18 @@ from textloom.functions import text as tx
 
 def repetition_ratio(text: Column, n: int = 3) -> Column:
     """Share of word n-grams that repeat another; 0 under 2n words."""
-    tokens = tx.words(F.lower(text))
-    # an expression inside a lambda is computed for each element, so the tokens are bound once
-    grams = F.element_at(F.transform(F.array(tokens), lambda t: tx.ngrams(t, n, "\x00")), 1)
-    return F.when(F.size(tokens) < 2 * n, F.lit(0.0)).otherwise(F.coalesce(_lost(grams), F.lit(0.0)))
+    shared = lambda t: F.when(F.size(t) >= 2 * n, tx.bound(tx.ngrams(t, n, "\x00"), tx.distinct_share_lost))
+    return F.coalesce(tx.bound(tx.words(F.lower(text)), shared), F.lit(0.0))
 
 
-def _lost(values: Column) -> Column:
-    return F.element_at(F.transform(F.array(values), tx.distinct_share_lost), 1)
+def _repeated_sentences(said: Column) -> Column:
+    share = lambda s: F.when(F.size(s) >= 2, tx.bound(F.transform(s, F.lower), tx.distinct_share_lost))
+    return F.coalesce(tx.bound(said, share), F.lit(0.0))
 
 
 def sentence_repetition_ratio(text: Column) -> Column:
     """Share of sentences, in lower case, that repeat another; 0 under two sentences."""
-    said = tx.sentences(text)
-    return F.when(F.size(said) < 2, F.lit(0.0)).otherwise(F.coalesce(_lost(F.transform(said, F.lower)), F.lit(0.0)))
+    return _repeated_sentences(tx.sentences(text))
 
 
 def _score(text: Column, grams: Column, said: Column, n_sentences: Column) -> Column:
@@ -68,16 +66,17 @@ def with_checks(examples: DataFrame, field: str = "answer", **limits) -> DataFra
     """Adds ``_score`` and ``_reason``. Each measure of the text is a column of its own, so it is computed once."""
     text = F.coalesce(F.col(field), F.lit(""))
     rows = examples.withColumns({"_grams": repetition_ratio(text), "_sentences": tx.sentences(text)})
-    said = F.when(F.size("_sentences") < 2, F.lit(0.0)).otherwise(F.coalesce(_lost(F.transform("_sentences", F.lower)), F.lit(0.0)))
-    rows = rows.withColumns({"_said": said, "_n": F.size("_sentences")})
+    rows = rows.withColumns({"_said": _repeated_sentences(F.col("_sentences")), "_n": F.size("_sentences")})
     rows = rows.withColumn("_score", _score(text, F.col("_grams"), F.col("_said"), F.col("_n")))
     return rows.withColumn("_reason", _reason(text, F.col("_grams"), F.col("_score"), **limits)).drop("_grams", "_sentences", "_said", "_n")
 
 
 def filter_examples(examples: DataFrame, field: str = "answer", **limits) -> DataFrame:
     """Examples whose ``field`` passes, with ``quality_score`` replaced by its score."""
-    rows = with_checks(examples, field, **limits).where(F.col("_reason") == "passed")
-    return rows.withColumn("quality_score", F.col("_score")).drop("_score", "_reason")
+    rows = with_checks(examples.drop("quality_score"), field, **limits)
+    # a filter on the reason would be pushed below the measures and compute them again
+    score = F.explode(F.when(F.col("_reason") == "passed", F.array("_score")).otherwise(F.array().cast("array<double>")))
+    return rows.withColumn("quality_score", score).drop("_score", "_reason")
 
 
 def check_stats(examples: DataFrame, field: str = "answer", **limits) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions import text as tx
 from textloom.operators import chat, chunking, dedup, evaluation, generation, inference, mixing, packing, quality, synthetic_quality, terms
-from textloom.session import materialised
+from textloom.session import materialised, spread
 from textloom.sources import readers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,9 +94,15 @@ _PRIME = str(dedup.PRIME)
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus as it is read, for projections and joins."""
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus for work on whole texts: id and text, over all cores."""
+    return spread(docs(spark, sf_dir).select("doc_id", "text"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -149,23 +155,23 @@ def length_filter(spark, sf_dir):
 
 @query(f"WITH {_GUESS} SELECT * FROM lang_of")
 def language_detect(spark, sf_dir):
-    return docs(spark, sf_dir).select("doc_id", quality.guess_language(F.col("text")).alias("detected"))
+    return texts(spark, sf_dir).select("doc_id", quality.guess_language(F.col("text")).alias("detected"))
 
 
 @query(f"WITH {_GUESS}, {_SCORE}, {_reasons('fr')} SELECT doc_id, coalesce(reason, 'passed') AS reason FROM reasons")
 def language_filter_fr(spark, sf_dir):
-    rows = quality.with_drop_reason(docs(spark, sf_dir), language="fr")
+    rows = quality.with_drop_reason(texts(spark, sf_dir), language="fr")
     return rows.select("doc_id", F.coalesce("drop_reason", F.lit("passed")).alias("reason"))
 
 
 @query(f"WITH {_SCORE} SELECT doc_id, round(score, 6) AS score FROM scored")
 def quality_score(spark, sf_dir):
-    return docs(spark, sf_dir).select("doc_id", F.round(quality.quality_score(F.col("text")), 6).alias("score"))
+    return texts(spark, sf_dir).select("doc_id", F.round(quality.quality_score(F.col("text")), 6).alias("score"))
 
 
 @query(f"WITH {_GUESS}, {_SCORE}, {_reasons('en')} SELECT doc_id, n_chars FROM documents JOIN reasons USING (doc_id) WHERE reason IS NULL")
 def quality_filter(spark, sf_dir):
-    return quality.quality_filter(docs(spark, sf_dir)).select("doc_id", "n_chars")
+    return quality.quality_filter(spread(docs(spark, sf_dir).select("doc_id", "text", "n_chars"))).select("doc_id", "n_chars")
 
 
 @query(f"""WITH {_GUESS}, {_SCORE}, {_reasons('en')}
@@ -173,14 +179,14 @@ SELECT count(*) AS total, count(*) FILTER (reason IS NULL) AS passed, count(*) F
   count(*) FILTER (reason = 'too_long') AS dropped_too_long, count(*) FILTER (reason = 'language') AS dropped_language,
   count(*) FILTER (reason = 'quality') AS dropped_quality, round(1.0::DOUBLE - count(*) FILTER (reason IS NULL)::DOUBLE / count(*), 4) AS drop_rate FROM reasons""")
 def quality_filter_stats(spark, sf_dir):
-    return quality.filter_stats(docs(spark, sf_dir)).withColumn("drop_rate", F.round("drop_rate", 4))
+    return quality.filter_stats(texts(spark, sf_dir)).withColumn("drop_rate", F.round("drop_rate", 4))
 
 
 # --- synthetic quality ---------------------------------------------------------------------------------------------
 @query(f"{_OF_DOCS} SELECT id AS doc_id, round(rep, 6) AS repetition, round(sent_rep, 6) AS sentence_repetition FROM ratios")
 def repetition_ratios(spark, sf_dir):
     text = F.col("text")
-    return docs(spark, sf_dir).select(
+    return texts(spark, sf_dir).select(
         "doc_id", F.round(synthetic_quality.repetition_ratio(text), 6).alias("repetition"),
         F.round(synthetic_quality.sentence_repetition_ratio(text), 6).alias("sentence_repetition"),
     )
@@ -188,7 +194,7 @@ def repetition_ratios(spark, sf_dir):
 
 @query(f"{_OF_DOCS} SELECT id AS doc_id, round(score, 6) AS score FROM synth")
 def synthetic_score(spark, sf_dir):
-    return docs(spark, sf_dir).select("doc_id", F.round(synthetic_quality.synthetic_score(F.col("text")), 6).alias("score"))
+    return texts(spark, sf_dir).select("doc_id", F.round(synthetic_quality.synthetic_score(F.col("text")), 6).alias("score"))
 
 
 @query(f"{_OF_TURNS} SELECT id, reason FROM checked")
@@ -199,7 +205,7 @@ def synthetic_check(spark, sf_dir):
 
 @query(f"{_OF_DOCS} SELECT id AS doc_id, round(score, 6) AS quality_score FROM checked WHERE reason = 'passed'")
 def synthetic_filter(spark, sf_dir):
-    rows = synthetic_quality.filter_examples(docs(spark, sf_dir).select("doc_id", F.col("text").alias("answer")))
+    rows = synthetic_quality.filter_examples(texts(spark, sf_dir).select("doc_id", F.col("text").alias("answer")))
     return rows.select("doc_id", F.round("quality_score", 6).alias("quality_score"))
 
 
@@ -207,7 +213,7 @@ def synthetic_filter(spark, sf_dir):
   count(*) FILTER (reason = 'too_long') AS too_long, count(*) FILTER (reason = 'too_repetitive') AS too_repetitive,
   count(*) FILTER (reason = 'low_quality') AS low_quality, round(count(*) FILTER (reason = 'passed')::DOUBLE / count(*), 4) AS pass_rate FROM checked""")
 def synthetic_stats(spark, sf_dir):
-    return synthetic_quality.check_stats(docs(spark, sf_dir), "text").withColumn("pass_rate", F.round("pass_rate", 4))
+    return synthetic_quality.check_stats(texts(spark, sf_dir), "text").withColumn("pass_rate", F.round("pass_rate", 4))
 
 
 # --- terminology ---------------------------------------------------------------------------------------------------
@@ -222,7 +228,7 @@ pieces AS (SELECT doc_id, regexp_extract_all(t, '[a-z]+(?:[''-]+[a-z]+)*') AS to
 @query(f"WITH {_TOKENISED} SELECT doc_id, len(tokens)::INT AS tokens, len(list_distinct(tokens))::INT AS distinct_tokens FROM pieces")
 def unigrams(spark, sf_dir):
     tokens = tx.term_tokens(F.col("text"))
-    return docs(spark, sf_dir).select("doc_id", F.size(tokens).alias("tokens"), F.size(F.array_distinct(tokens)).alias("distinct_tokens"))
+    return texts(spark, sf_dir).select("doc_id", F.size(tokens).alias("tokens"), F.size(F.array_distinct(tokens)).alias("distinct_tokens"))
 
 
 _ENGLISH_GRAMS = f"""
@@ -237,12 +243,12 @@ by_term AS (
 
 @query(f"{_ENGLISH_GRAMS} SELECT term, frequency FROM by_term WHERE frequency >= 20")
 def term_frequency(spark, sf_dir):
-    return terms.term_counts(docs(spark, sf_dir)).where("frequency >= 20").select("term", "frequency")
+    return terms.term_counts(texts(spark, sf_dir)).where("frequency >= 20").select("term", "frequency")
 
 
 @query(f"{_ENGLISH_GRAMS} SELECT term, document_frequency FROM by_term WHERE document_frequency >= 5")
 def document_frequency(spark, sf_dir):
-    return terms.term_counts(docs(spark, sf_dir)).where("document_frequency >= 5").select("term", "document_frequency")
+    return terms.term_counts(texts(spark, sf_dir)).where("document_frequency >= 5").select("term", "document_frequency")
 
 
 @query(f"""{_ENGLISH_GRAMS},
@@ -252,7 +258,7 @@ scored AS (
   FROM by_term WHERE frequency >= 100 AND length(term) >= 3)
 SELECT term, frequency, document_frequency, round(tfidf, 4) AS tfidf FROM scored ORDER BY scored.tfidf DESC, first LIMIT 200""")
 def tfidf_topk(spark, sf_dir):
-    return terms.extract_terms(docs(spark, sf_dir), 100, 3, 200).withColumn("tfidf", F.round("tfidf", 4))
+    return terms.extract_terms(texts(spark, sf_dir), 100, 3, 200).withColumn("tfidf", F.round("tfidf", 4))
 
 
 #: A small glossary over the driver's invented words.
@@ -267,7 +273,7 @@ def _glossary(spark):
 
 @query(f"SELECT doc_id, term FROM documents, {_GLOSSARY_SQL} WHERE {_MATCH}")
 def glossary_match(spark, sf_dir):
-    return evaluation.term_matches(docs(spark, sf_dir), _glossary(spark)).select("doc_id", "term")
+    return evaluation.term_matches(texts(spark, sf_dir), _glossary(spark)).select("doc_id", "term")
 
 
 @query(f"""WITH hits AS (SELECT doc_id, term FROM documents, {_GLOSSARY_SQL} WHERE {_MATCH})
@@ -275,7 +281,7 @@ SELECT count(DISTINCT term) AS unique_terms_found, {len(GLOSSARY)}::BIGINT AS to
   round(count(DISTINCT term)::DOUBLE / {len(GLOSSARY)}, 4) AS term_recall, round(count(*)::DOUBLE / (SELECT count(*) FROM documents), 4) AS avg_terms_per_prompt,
   count(DISTINCT term)::DOUBLE / {len(GLOSSARY)} >= 0.3 AS passed FROM hits""")
 def term_recall(spark, sf_dir):
-    out = evaluation.term_recall(docs(spark, sf_dir), _glossary(spark))
+    out = evaluation.term_recall(texts(spark, sf_dir), _glossary(spark))
     return out.withColumn("term_recall", F.round("term_recall", 4)).withColumn("avg_terms_per_prompt", F.round("avg_terms_per_prompt", 4))
 
 
@@ -316,24 +322,24 @@ survivors AS (SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT n FROM go
 
 @query(f"WITH {_SHINGLES} SELECT doc_id, len(s)::INT AS shingles FROM shingled")
 def shingle_count(spark, sf_dir):
-    return docs(spark, sf_dir).select("doc_id", F.size(dedup.shingles(F.col("text"))).alias("shingles"))
+    return texts(spark, sf_dir).select("doc_id", F.size(dedup.shingles(F.col("text"))).alias("shingles"))
 
 
 @query(f"WITH {_SHINGLES} SELECT doc_id, min(h) AS least, max(h) AS greatest, sum(h)::BIGINT AS total FROM hashed GROUP BY doc_id")
 def shingle_hash(spark, sf_dir):
     h = F.transform(dedup.shingles(F.col("text")), dedup.shingle_hash)
-    rows = docs(spark, sf_dir).select("doc_id", h.alias("h"))
+    rows = texts(spark, sf_dir).select("doc_id", h.alias("h"))
     return rows.select("doc_id", F.array_min("h").alias("least"), F.array_max("h").alias("greatest"), tx.array_sum(F.col("h")).alias("total"))
 
 
 @query(f"{_SIGNED} SELECT doc_id, string_agg(value::VARCHAR, ',' ORDER BY slot) AS signature FROM signed GROUP BY doc_id")
 def minhash_signature(spark, sf_dir):
-    signed = dedup.with_signatures(docs(spark, sf_dir).select("doc_id", "text"))
+    signed = dedup.with_signatures(texts(spark, sf_dir))
     return signed.select("doc_id", F.array_join(F.col("signature").cast("array<string>"), ",").alias("signature"))
 
 
 def _signed(spark, sf_dir):
-    return materialised(dedup.with_signatures(docs(spark, sf_dir).select("doc_id", "text")))
+    return materialised(dedup.with_signatures(texts(spark, sf_dir)))
 
 
 @query(f"{_LINKED} SELECT * FROM candidates")
@@ -348,13 +354,13 @@ def similar_pairs(spark, sf_dir):
 
 @query(f"{_GREEDY} SELECT doc_id FROM survivors")
 def dedup_keep(spark, sf_dir):
-    return dedup.deduplicate(docs(spark, sf_dir)).select("doc_id")
+    return dedup.deduplicate(texts(spark, sf_dir)).select("doc_id")
 
 
 @query(f"""{_GREEDY} SELECT count(*) AS total, (SELECT count(*) FROM survivors) AS kept, count(*) - (SELECT count(*) FROM survivors) AS removed,
   round((count(*) - (SELECT count(*) FROM survivors))::DOUBLE / count(*), 4) AS dedup_rate FROM documents""")
 def dedup_stats(spark, sf_dir):
-    rows = docs(spark, sf_dir)
+    rows = texts(spark, sf_dir)
     return dedup.dedup_stats(rows, dedup.deduplicate(rows)).withColumn("dedup_rate", F.round("dedup_rate", 4))
 
 
@@ -406,17 +412,17 @@ def _quote(text: str) -> str:
 
 @query(f"{_CHAT} SELECT doc_id, chunk_index, n_chunks, chunk FROM pieces")
 def chunk_text(spark, sf_dir):
-    return chunking.chunk(docs(spark, sf_dir).select("doc_id", "text"), chunking.chat_chunker())
+    return chunking.chunk(texts(spark, sf_dir), chunking.chat_chunker())
 
 
 @query(f"{_QA} SELECT doc_id, chunk_index, chunk AS passage FROM passages")
 def qa_passages(spark, sf_dir):
-    return generation.qa_passages(docs(spark, sf_dir)).select(F.col("ord").alias("doc_id"), "chunk_index", "passage")
+    return generation.qa_passages(texts(spark, sf_dir)).select(F.col("ord").alias("doc_id"), "chunk_index", "passage")
 
 
 @query(f"{_INSTRUCTION} SELECT doc_id, chunk_index, chunk AS passage FROM pieces")
 def instruction_passages(spark, sf_dir):
-    return generation.instruction_passages(docs(spark, sf_dir)).select(F.col("ord").alias("doc_id"), "chunk_index", "passage")
+    return generation.instruction_passages(texts(spark, sf_dir)).select(F.col("ord").alias("doc_id"), "chunk_index", "passage")
 
 
 def _spoken(examples: DataFrame) -> DataFrame:
@@ -429,7 +435,7 @@ _PIECE_ID = "CASE WHEN n_chunks > 1 THEN doc_id || ':chunk_' || chunk_index ELSE
 
 @query(f"{_CHAT} SELECT {_PIECE_ID}, {_quote(chat.SYSTEM_PROMPTS['legal'])} AS system, 'Continue the following text:' AS \"user\", chunk AS assistant FROM pieces")
 def format_completion(spark, sf_dir):
-    return _spoken(chat.format_chat(docs(spark, sf_dir)))
+    return _spoken(chat.format_chat(texts(spark, sf_dir)))
 
 
 @query(f"""{_CHAT}
@@ -470,7 +476,7 @@ ranked AS (SELECT *, {_RANKED} AS k FROM passages)
 SELECT {_pick_sql(generation.QA_TEMPLATES['legal'], 'doc_id', 'chunk_index')} || chr(10) || chr(10) || 'Context:' || chr(10) || chunk AS question,
   chunk AS answer, doc_id::VARCHAR AS source_doc_id FROM ranked WHERE k <= 5""")
 def qa_pairs(spark, sf_dir):
-    return generation.qa_pairs(docs(spark, sf_dir)).select("question", "answer", "source_doc_id")
+    return generation.qa_pairs(texts(spark, sf_dir)).select("question", "answer", "source_doc_id")
 
 
 _TASKS, _TEXTS = zip(*generation.INSTRUCTIONS["legal"], strict=True)
@@ -481,7 +487,7 @@ ranked AS (SELECT *, {_RANKED} AS k FROM pieces)
 SELECT {_pick_sql(list(_TEXTS), 'doc_id', 'chunk_index')} || chr(10) || chr(10) || chunk AS instruction, chunk AS response,
   {_pick_sql(list(_TASKS), 'doc_id', 'chunk_index')} AS task_type, doc_id::VARCHAR AS source_doc_id FROM ranked WHERE k <= 3""")
 def instruction_pairs(spark, sf_dir):
-    return generation.instruction_pairs(docs(spark, sf_dir)).select("instruction", "response", "task_type", "source_doc_id")
+    return generation.instruction_pairs(texts(spark, sf_dir)).select("instruction", "response", "task_type", "source_doc_id")
 
 
 @query(f"""SELECT replace({_pick_sql(generation.DEFINITIONS, 'term')}, '{{term}}', term) AS instruction,
@@ -548,7 +554,7 @@ judged AS (
 
 
 def _judged(spark, sf_dir):
-    rows = docs(spark, sf_dir).join(table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label")), "doc_id")
+    rows = spread(docs(spark, sf_dir)).join(table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label")), "doc_id")
     predicted = (quality.quality_score(F.col("text")) >= 0.9).cast("int")
     rows = rows.select("doc_id", "source", "lang", "label", predicted.alias("predicted"), (F.length("text") >= 600).cast("int").alias("by_length"))
     return rows.withColumn("is_correct", F.col("label") == F.col("predicted"))

@@ -33,3 +33,12 @@ def materialised(df: DataFrame) -> DataFrame:
     if not context.getCheckpointDir():
         context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="textloom-"))
     return df.checkpoint()
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """``rows`` dealt over all cores if their input has fewer splits than that, as small files do; else untouched.
+
+    Worth it before work on whole texts. Large inputs have more splits than cores, so their texts are never shuffled.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
