@@ -279,3 +279,23 @@ def digest(docs: DataFrame, items: DataFrame) -> DataFrame:
         F.sha2(F.concat_ws(",", F.sort_array("_items")).cast("binary"), 256).alias("items_sha256"),
         (F.size("_items") >= 2).alias("contaminated"),
     )
+
+
+_SQL_WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+ORACLE = f"""
+WITH d AS (SELECT doc_id, coalesce({_SQL_WORDS}, []) AS w FROM documents),
+i AS (SELECT item_id::VARCHAR AS item, {_SQL_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+wins AS (
+  SELECT item, least(len(w), 8) AS n, unnest(list_transform(range(1, greatest(len(w) - 7, 1) + 1), lambda k: array_to_string(w[k:k + 7], ' '))) AS g
+  FROM i WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT n FROM wins),
+grams AS (
+  SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS k, unnest(list_transform(range(1, len(w) - n + 2), lambda k: array_to_string(w[k:k + n - 1], ' '))) AS g
+  FROM d, sizes WHERE len(w) >= n),
+found AS (SELECT DISTINCT doc_id, k, grams.n, item FROM grams JOIN wins ON grams.g = wins.g AND grams.n = wins.n),
+covered AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS pos FROM found) GROUP BY doc_id),
+named AS (SELECT doc_id, list_sort(list(DISTINCT item)) AS items FROM found GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(len(items), 0)::BIGINT AS n_items,
+  sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(len(items), 0) >= 2 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""

@@ -125,4 +125,43 @@ def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Da
 def digest(docs: DataFrame) -> DataFrame:
     """The registered query's columns, one row per document."""
     out = judge(docs.select("doc_id", "lang", "text"))
-    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "class_distance", "common_distance")
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", *[F.round(c, 6).alias(c) for c in ("class_distance", "common_distance")])
+
+
+def _sql_count(chars: str) -> str:
+    quoted = chars.replace("'", "''")
+    return f"length(regexp_replace(t, '[^{quoted}]+', '', 'g'))"
+
+
+_SQL_CLASSES = ", ".join(_sql_count(c) for c in CLASSES.values())
+_SQL_COMMON = ", ".join(f"'{w}'" for w in COMMON)
+ORACLE = rf"""
+WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+runs AS (
+  SELECT doc_id, unnest(range(1, len(w) - 1)) AS k, unnest(list_transform(range(1, len(w) - 1), lambda k: array_to_string(w[k:k + 2], ' '))) AS g FROM d WHERE len(w) >= 3),
+twins AS (SELECT doc_id, k FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS c FROM runs) WHERE c > 1),
+covered AS (SELECT doc_id, count(DISTINCT pos) AS n FROM (SELECT doc_id, unnest(range(k, k + 3)) AS pos FROM twins) GROUP BY doc_id),
+lined AS (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+c AS (
+  SELECT d.doc_id, lang, len(w)::BIGINT AS n_words, length(t) AS size, [{_SQL_CLASSES}] AS cls,
+    list_transform([{_SQL_COMMON}], lambda x: len(list_filter(list_transform(w, lambda v: lower(v)), lambda v: v = x))) AS seen,
+    (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words
+  FROM d JOIN lined USING (doc_id) LEFT JOIN covered USING (doc_id)),
+h AS (SELECT *, list_append(cls, size - list_sum(cls)) AS classes, list_append(seen, n_words - list_sum(seen)) AS common FROM c),
+flat AS (
+  SELECT doc_id, lang, 'class' AS kind, size AS total, unnest(range(len(classes))) AS j, unnest(classes) AS x FROM h
+  UNION ALL SELECT doc_id, lang, 'common', n_words, unnest(range(len(common))), unnest(common) FROM h),
+refs AS (SELECT lang, kind, j, sum(x) AS x, sum(total) AS total FROM flat GROUP BY ALL),
+shares AS (
+  SELECT doc_id, f.kind, f.x::DOUBLE / greatest(f.total, 1) AS p, r.x::DOUBLE / greatest(r.total, 1) AS q
+  FROM flat f JOIN refs r ON f.lang IS NOT DISTINCT FROM r.lang AND f.kind = r.kind AND f.j = r.j),
+apart AS (
+  SELECT doc_id, kind, sqrt(greatest(0, sum((CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2))) AS dist
+  FROM shares GROUP BY doc_id, kind),
+wide AS (SELECT doc_id, max(dist) FILTER (kind = 'class') AS class_distance, max(dist) FILTER (kind = 'common') AS common_distance FROM apart GROUP BY doc_id),
+judged AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM h JOIN wide USING (doc_id))
+SELECT doc_id, n_words, (size - cls[3])::BIGINT AS word_chars, cls[4]::BIGINT AS n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT (class_distance > {MAX_CLASS_DISTANCE} OR (n_words >= {MIN_COMMON_WORDS} AND common_distance > {MAX_COMMON_DISTANCE})) AS kept,
+  round(class_distance, 6) AS class_distance, round(common_distance, 6) AS common_distance
+FROM judged
+"""

@@ -61,7 +61,10 @@ QUERIES = {
     "op10_pii": op10_pii,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op1_decontamination": decontamination.ORACLE,
     "op2_mixing": mixing.ORACLE,
+    "op3_substrings": substrings.ORACLE,
+    "op4_quality_rules": quality_rules.ORACLE,
     "op5_url_filters": url_filters.ORACLE,
     "op6_licences": licences.ORACLE,
 }

@@ -380,3 +380,18 @@ def digest(docs: DataFrame) -> DataFrame:
     """The registered query's columns, one row per document."""
     out = remove_repeats(docs.select("doc_id", "text"))
     return out.select("doc_id", F.col("_n_words").alias("n_words"), F.col("_n_removed").alias("n_removed"), F.col("_kept_sha256").alias("kept_sha256"))
+
+
+ORACLE = r"""
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+wins AS (
+  SELECT doc_id, unnest(range(1, len(w) - 18)) AS k, unnest(list_transform(range(1, len(w) - 18), lambda k: md5(array_to_string(w[k:k + 19], ' ')))) AS g
+  FROM d WHERE len(w) >= 20),
+later AS (SELECT doc_id, k FROM (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id, k) AS r FROM wins) WHERE r > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(k, k + 20)) AS pos FROM later),
+words AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS pos, unnest(w) AS word FROM d),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS t, count(*) AS n FROM words LEFT JOIN gone USING (doc_id, pos) WHERE gone.pos IS NULL GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
