@@ -29,7 +29,10 @@ COMMON = (
 )
 #: Characters of each class; the rest of a text is the last class.
 CLASSES = {"upper": r"\p{Lu}", "digit": "0-9", "space": r"\x20\x09-\x0D", "symbol": "#*$%&|<>", "mark": r".,;:!?'\"()-"}
-MIN_WORDS, MIN_COMMON_WORDS, MAX_CLASS_DISTANCE, MAX_COMMON_DISTANCE = 50, 200, 0.28, 0.25
+MIN_WORDS, MIN_COMMON_WORDS = 50, 200
+#: A document goes beyond the first distance of its character classes, or beyond the second together with odd words:
+#: prose that mixes languages has odd words alone.
+MAX_CLASS_DISTANCE, ODD_CLASS_DISTANCE, MAX_COMMON_DISTANCE = 0.28, 0.16, 0.25
 _CODES = [chr(0x100 + i) for i in range(len(COMMON))]
 
 
@@ -118,7 +121,8 @@ def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Da
         "class_distance": distance(F.col("_classes"), F.col("_size"), F.col("_class_ref"), F.col("_class_total")),
         "common_distance": distance(F.col("_common"), F.col("n_words"), F.col("_common_ref"), F.col("_common_total")),
     })
-    odd = (F.col("class_distance") > MAX_CLASS_DISTANCE) | ((F.col("n_words") >= MIN_COMMON_WORDS) & (F.col("common_distance") > MAX_COMMON_DISTANCE))
+    odd_words = (F.col("n_words") >= MIN_COMMON_WORDS) & (F.col("common_distance") > MAX_COMMON_DISTANCE)
+    odd = (F.col("class_distance") > MAX_CLASS_DISTANCE) | (odd_words & (F.col("class_distance") > ODD_CLASS_DISTANCE))
     return judged.withColumn("kept", ~F.col("base_failed") & ~odd).drop("_classes", "_common", "_size", "_class_ref", "_class_total", "_common_ref", "_common_total")
 
 
@@ -161,7 +165,7 @@ apart AS (
 wide AS (SELECT doc_id, max(dist) FILTER (kind = 'class') AS class_distance, max(dist) FILTER (kind = 'common') AS common_distance FROM apart GROUP BY doc_id),
 judged AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM h JOIN wide USING (doc_id))
 SELECT doc_id, n_words, (size - cls[3])::BIGINT AS word_chars, cls[4]::BIGINT AS n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND NOT (class_distance > {MAX_CLASS_DISTANCE} OR (n_words >= {MIN_COMMON_WORDS} AND common_distance > {MAX_COMMON_DISTANCE})) AS kept,
+  NOT base_failed AND NOT (class_distance > {MAX_CLASS_DISTANCE} OR (n_words >= {MIN_COMMON_WORDS} AND common_distance > {MAX_COMMON_DISTANCE} AND class_distance > {ODD_CLASS_DISTANCE})) AS kept,
   round(class_distance, 6) AS class_distance, round(common_distance, 6) AS common_distance
 FROM judged
 """
