@@ -184,6 +184,16 @@ def test_terms_that_reveal_are_spans_and_copies_reveal_nothing(spark):
     assert all("term" not in s for (s,) in by_id(pii.digest(h.frame(spark, disclosure(2))), "spans").values())
 
 
+def test_a_common_entity_does_not_hide_a_term_s_own(spark):
+    filler = lambda k: " ".join(f"{w}{k}q{j}" for j, w in enumerate(("red", "blue", "green") * 6))
+    own = [f"{filler(k)} zorblax ann@own.example.org desk@all.example.org {filler(k + 5000)}" for k in range(9)]
+    shared = [f"{filler(9)} zorblax wrote desk@all.example.org {filler(5009)}"]
+    shared += [f"{filler(k)} desk@all.example.org {filler(k + 5000)}" for k in range(10, 1000)]
+    values = own + shared + [filler(k) for k in range(1000, 3000)]
+    terms = pii.disclosing_terms(pii.with_base_spans(h.frame(spark, values)))
+    assert [r["term"] for r in terms.collect()] == ["zorblax"]
+
+
 def test_many_terms_take_the_joined_way(spark):
     rows = pii.with_base_spans(h.frame(spark, ["Alpha beta alpha", "gamma", None]).select("doc_id", "text"))
     terms = spark.createDataFrame([("alpha",), ("gamma",)], "term string")

@@ -111,14 +111,13 @@ def disclosing_terms(spanned: DataFrame, text_col: str = "text", reach: int = 60
     contexts = stored(contexts)
     each = contexts.select("entity", "h", F.explode(terms_of(F.col("around"))).alias("term"))
     pairs = each.groupBy("term", "entity").agg(F.count("*").alias("both")).where(F.col("both") >= min_contexts)
-    pairs = pairs.groupBy("term").agg(F.max(F.struct("both", "entity")).alias("most"))
     # a term stands in at least as many texts as its contexts come from: most terms fall short of the share already
     least = each.groupBy("term", "h").count().groupBy("term").agg(F.count("*").alias("least"))
-    pairs = pairs.join(least, "term").where(F.col("most.both") >= F.col("least") * min_share)
-    pairs = stored(pairs.select("term", "most.both", "most.entity"))
+    pairs = pairs.join(least, "term").where(F.col("both") >= F.col("least") * min_share)
+    pairs = stored(pairs.select("term", "both", "entity"))
     texts = rows.select("_t", "h")
     marked = texts.select("h", F.explode(terms_of(F.col("_t"))).alias("word"))
-    per_term = join_small(marked, pairs.select("term").withColumnRenamed("term", "word"), "word", "left_semi")
+    per_term = join_small(marked, pairs.select(F.col("term").alias("word")).distinct(), "word", "left_semi")
     per_term = per_term.groupBy("word", "h").count().groupBy("word").agg(F.count("*").alias("texts"))
     n_texts = texts.groupBy("h").count().groupBy().agg(F.count("*").alias("n"))
     per_entity = contexts.groupBy("entity").agg(F.count("*").alias("own"))
