@@ -5,6 +5,10 @@ identifier sequence is matched against ordered rules: a rule names a licence and
 follow each other, with at most ``MAX_GAP`` other sentences between two of them. All rules that match are reported,
 in rule order, and the first decides.
 
+A text is read twice: by lines, each line break ending a sentence, and as hard-wrapped text, where single line breaks,
+colons and semicolons may also stand inside a known sentence. In the second reading only blank lines and end punctuation
+end unknown sentences, and list numbers are none. A rule matches by either reading; ``n_sentences`` counts by lines.
+
 Only DataFrame functions, all within the row: no shuffle. The sentences and rules are fixed, so their size is known.
 
 Defined cases: null and empty texts have no sentences and no licence; repeated sentences count each time; unknown
@@ -68,6 +72,12 @@ MAX_GAP = 2
 _BREAK = r"[.!?:;]+(?:[\x20\x09-\x0D]+|$)|\n+"
 _CODES = {name: chr(0x41 + i) for i, name in enumerate(SENTENCES)}
 _OTHER = "_"
+#: Marks of the second reading: breaks that a known sentence may run across, and ends of sentences.
+_SOFT, _HARD = "\x01", "\x02"
+_END = r"[.!?]+(?:[\x20\x09-\x0D]+|$)|[:;]*\n[\x20\x09-\x0D]*\n[\x20\x09-\x0D]*"
+_SOFT_BREAK = r"[:;]+(?:[\x20\x09-\x0D]+|$)|\n"
+#: A word of every known sentence; other texts are read by lines only.
+_WORTH = r"licen[sc]e|permission|redistribut|contributors|warrant|copyright|all[\x20\x09-\x0D]+rights"
 
 
 def rule_pattern(sentences: tuple[str, ...]) -> str:
@@ -85,19 +95,36 @@ def sentence_codes(text: Column) -> Column:
     return F.array_join(F.transform(said, lambda s: F.when(s.isin(*known), F.element_at(code, s)).otherwise(F.lit(_OTHER))), "")
 
 
+def wrapped_codes(text: Column) -> Column:
+    """As :func:`sentence_codes`, of hard-wrapped text."""
+    low = F.lower(text)
+    marked = F.regexp_replace(F.regexp_replace(low, r"[\x{01}\x{02}]", " "), _END, _HARD)
+    marked = F.regexp_replace(marked, _SOFT_BREAK, _SOFT)
+    marked = F.regexp_replace(marked, r"[^a-z0-9\x{01}\x{02}\x{80}-\x{10FFFF}]+", " ")
+    marked = F.concat(F.lit(_HARD), marked, F.lit(_HARD))
+    marked = F.regexp_replace(marked, r"\x20*+([\x{01}\x{02}])[\x{01}\x{02}\x20]*+", "$1")
+    for name, said in sorted(SENTENCES.items(), key=lambda x: -len(x[1])):
+        words = r"[\x{01}\x20]".join(said.split())
+        marked = F.regexp_replace(marked, rf"(?<=[\x{{01}}\x{{02}}]){words}(?=[\x{{01}}\x{{02}}])", f"{_HARD}{_CODES[name]}{_HARD}")
+    said = F.filter(F.split(marked, r"[\x{02}]", -1), lambda s: ~s.rlike(r"^[\x{01}\x20]*(?:[0-9]{1,2}|[a-z])?[\x{01}\x20]*$"))
+    codes = F.array_join(F.transform(said, lambda s: F.when(s.rlike("^[A-Z]$"), s).otherwise(F.lit(_OTHER))), "")
+    return F.when(low.rlike(_WORTH), codes).otherwise(F.lit(""))
+
+
 def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with n_sentences, n_known, rules, licences and licence (of the first rule; null without one)."""
     rows = docs.drop("n_sentences", "n_known", "rules", "licences", "licence")
     rows = rows.withColumn("_codes", sentence_codes(F.coalesce(F.col(text_col), F.lit(""))))
-    hits = [F.when(F.col("_codes").rlike(rule_pattern(s)), F.struct(F.lit(r).alias("rule"), F.lit(n).alias("licence"))) for r, n, s in RULES]
+    rows = rows.withColumn("_wrapped", wrapped_codes(F.coalesce(F.col(text_col), F.lit(""))))
+    hits = [F.when(F.col("_codes").rlike(rule_pattern(s)) | F.col("_wrapped").rlike(rule_pattern(s)), F.struct(F.lit(r).alias("rule"), F.lit(n).alias("licence"))) for r, n, s in RULES]
     rows = rows.withColumn("_hits", F.array_compact(F.array(*hits)))
     return rows.withColumns({
         "n_sentences": F.length("_codes").cast("long"),
-        "n_known": F.length(F.replace(F.col("_codes"), F.lit(_OTHER), F.lit(""))).cast("long"),
+        "n_known": F.greatest(*[F.length(F.replace(F.col(c), F.lit(_OTHER), F.lit(""))) for c in ("_codes", "_wrapped")]).cast("long"),
         "rules": F.array_join(F.transform("_hits", lambda h: h["rule"]), ","),
         "licences": F.array_join(F.array_distinct(F.transform("_hits", lambda h: h["licence"])), ","),
         "licence": F.get("_hits", F.lit(0))["licence"],
-    }).drop("_codes", "_hits")
+    }).drop("_codes", "_wrapped", "_hits")
 
 
 def digest(docs: DataFrame) -> DataFrame:
