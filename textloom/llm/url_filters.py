@@ -55,10 +55,10 @@ def intervals(entries: DataFrame) -> DataFrame:
     """(domain, category, valid_from, valid_until) from dated entries (domain, category, action, day)."""
     clean = entries.select(F.lower("domain").alias("domain"), "category", "action", F.col("day").cast("date").alias("day"))
     clean = clean.where("domain is not null and day is not null").distinct()
-    # of one domain and day, a removal stands
-    ranked = Window.partitionBy("domain", "day").orderBy(F.desc("action"), "category")
+    # of one domain, category and day, a removal stands
+    ranked = Window.partitionBy("domain", "category", "day").orderBy(F.desc("action"))
     one = clean.withColumn("k", F.row_number().over(ranked)).where("k = 1")
-    until = F.lead("day").over(Window.partitionBy("domain").orderBy("day"))
+    until = F.lead("day").over(Window.partitionBy("domain", "category").orderBy("day"))
     return one.withColumn("valid_until", until).where("action = 'add'").select("domain", "category", F.col("day").alias("valid_from"), "valid_until")
 
 
