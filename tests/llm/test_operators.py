@@ -6,7 +6,7 @@ import pytest
 from compare import assert_same, oracle
 from pyspark.sql import functions as F
 
-from textloom.llm import common, decontamination, language_id, licences, mixing, pii, quality_classifier, quality_rules, queries, simhash, substrings, url_filters
+from textloom.llm import common, decontamination, language_id, licences, mixing, pii, quality_classifier, quality_rules, queries, simhash, url_filters
 
 
 def by_id(df, *cols):
@@ -45,31 +45,6 @@ def test_spans_are_cut_and_the_rest_stays(spark):
     assert 1 not in out and out[2] == (None,) and out[3] == ("clean é text",)
 
 
-def test_repeats_equal_brute_force(docs):
-    got = by_id(substrings.digest(docs), "n_words", "n_removed", "kept_sha256")
-    expected = h.repeats_spec(enumerate(h.texts()))
-    assert got == expected and sum(e[1] for e in expected.values()) > 100
-
-
-def test_repeats_over_many_chunks(docs, monkeypatch):
-    monkeypatch.setattr(substrings, "CHUNK", 2_000)
-    monkeypatch.setattr(substrings, "PIECE", 700)
-    hasher = substrings.WordHasher()
-    words, counts = hasher([b"a b", None, b"", b" b\ta "])
-    assert counts.tolist() == [2, 0, 0, 2] and words[0] == words[3] and words[1] == words[2] != words[0]
-    values = np.arange(40, dtype=np.uint64)
-    assert substrings._sliding(values, 15, np.minimum).tolist() == list(range(26))
-    labels = substrings._labels(values, 20, 5)
-    assert len(labels) == 21 and labels[3] == substrings._labels(values[3:23], 20, 5)[0]
-
-
-def test_rows_that_repeat_an_id_do_not_remove_each_other(spark):
-    text = " ".join(f"w{i}" for i in range(25))
-    rows = spark.createDataFrame([(1, text, 0), (1, text, 1), (2, text, 2), (None, text, 3)], "doc_id long, text string, _text int")
-    out = {r["_text"]: (r["doc_id"], r["_n_removed"]) for r in substrings.remove_repeats(rows).collect()}
-    assert out == {0: (1, 0), 1: (1, 0), 2: (2, 25), 3: (None, 25)}
-
-
 def test_components_equal_brute_force(docs):
     fps = {d: h.fingerprint_spec(t) for d, t in enumerate(h.texts())}
     roots = h.components_spec(fps)

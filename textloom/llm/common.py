@@ -59,15 +59,9 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def by_text_batches(docs: DataFrame, rows: int = 1_000) -> DataFrame:
-    """``docs``, after bounding the rows of an Arrow batch where the session has Spark's default.
-
-    Ten thousand texts a batch would stand several times over in a task's JVM and Python memory.
-    """
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(docs.sparkSession.conf.get(key)) == 10_000:
-        docs.sparkSession.conf.set(key, str(rows))
-    return docs
+def prefixed(name: str, prefix: str = "_in_") -> Column:
+    """A caller's column under a name that no working column has."""
+    return F.col(f"`{name}`").alias(f"{prefix}{name}")
 
 
 def join_small(big: DataFrame, small: DataFrame, key: str, how: str = "inner", salts: int = 32, limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -81,7 +75,8 @@ def join_small(big: DataFrame, small: DataFrame, key: str, how: str = "inner", s
     if len(small.limit(limit + 1).select("_k").collect()) <= limit:
         return big.join(F.broadcast(small), big[key].eqNullSafe(small["_k"]), how).drop("_k")
     small = small.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    big = big.withColumn("_salt", F.pmod(F.xxhash64(*[c for c in big.columns]), F.lit(salts)).cast("int"))
+    plain = [f"`{f.name}`" for f in big.schema if isinstance(f.dataType, T.AtomicType) and f.dataType.simpleString() != "variant"]
+    big = big.withColumn("_salt", F.pmod(F.xxhash64(F.lit(0), *plain), F.lit(salts)).cast("int"))
     return big.join(small, big[key].eqNullSafe(small["_k"]) & (big["_salt"] == small["_copy"]), how).drop("_k", "_copy", "_salt")
 
 
@@ -126,7 +121,3 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     stars = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return stars.select(F.col("node").cast(schema), F.col("root").cast(schema))
-
-
-def long_type(name: str) -> T.StructField:
-    return T.StructField(name, T.LongType())
