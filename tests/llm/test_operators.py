@@ -6,7 +6,7 @@ import pytest
 from compare import assert_same, oracle
 from pyspark.sql import functions as F
 
-from textloom.llm import common, decontamination, language_id, licences, mixing, pii, quality_classifier, quality_rules, queries, simhash, url_filters
+from textloom.llm import common, decontamination, language_id, licences, mixing, quality_classifier, quality_rules, queries, simhash, url_filters
 
 
 def by_id(df, *cols):
@@ -125,57 +125,6 @@ def test_repeated_ids_share_the_threshold(spark):
     assert abs(out["taken"].sum() - out["target"].iloc[0]) <= 4 and out["taken"].nunique() == 1
 
 
-PII = [
-    "mail a.b+c@x-y.example.com, x@a.b%c@d.e or @no.where a@b", "ip 1.2.3.4 256.1.1.1 1.2.3.4.5.6.7.8 001.02.3.255 12.3",
-    "card 4111 1111 1111 1111 and 4111-1111-1111-1112; 7536784127813050 4845168114407329 9", "call +1 (017) 555-7713 or +12 or +44.20.7946.0958- end+1",
-    "é\U0001f600 me@example.org", "7" * 5000, "a" * 20000 + "@", None, "", "0000 0000 0000 0000",
-]
-
-
-def test_spans_equal_brute_force(spark):
-    rows = h.frame(spark, PII + h.texts())
-    for r in pii.digest(rows).collect():
-        expected = h.spans_spec((PII + h.texts())[r["doc_id"]])
-        assert r["spans"] == ",".join(expected) and r["base_sha256"] == h.sha(",".join(expected))
-        assert [r[f"n_{k}"] for k in h.PATTERNS] == [sum(x.startswith(k) for x in expected) for k in h.PATTERNS]
-
-
-def disclosure(n_contexts=4):
-    filler = lambda k: " ".join(f"{w}{k}q{j}" for j, w in enumerate(("red", "blue", "green") * 6))
-    told = [f"{filler(k)} zorblax wrote ann@corp.example.com about {filler(k + 100)}" for k in range(n_contexts)]
-    plain = [filler(k + 200) + " about wrote" for k in range(1500)]
-    copies = [f"{filler(999)} unique bob@corp.example.com {filler(998)}"] * 30
-    return told + plain + copies
-
-
-def test_terms_that_reveal_are_spans_and_copies_reveal_nothing(spark):
-    values = disclosure()
-    out = by_id(pii.digest(h.frame(spark, values)), "spans")
-    at = values[0].index("zorblax")
-    assert f"term:{at}:{at + 7}" in out[0][0]
-    assert all("term" not in out[d][0] for d in range(4, len(values)))
-    clean = by_id(pii.sanitise(h.frame(spark, values)), "text")
-    assert " [TERM] wrote [EMAIL] about " in clean[0][0] and clean[10][0] == values[10]
-    assert all("term" not in s for (s,) in by_id(pii.digest(h.frame(spark, disclosure(2))), "spans").values())
-
-
-def test_a_common_entity_does_not_hide_a_term_s_own(spark):
-    filler = lambda k: " ".join(f"{w}{k}q{j}" for j, w in enumerate(("red", "blue", "green") * 6))
-    own = [f"{filler(k)} zorblax ann@own.example.org desk@all.example.org {filler(k + 5000)}" for k in range(9)]
-    shared = [f"{filler(9)} zorblax wrote desk@all.example.org {filler(5009)}"]
-    shared += [f"{filler(k)} desk@all.example.org {filler(k + 5000)}" for k in range(10, 1000)]
-    values = own + shared + [filler(k) for k in range(1000, 3000)]
-    terms = pii.disclosing_terms(pii.with_base_spans(h.frame(spark, values)))
-    assert [r["term"] for r in terms.collect()] == ["zorblax"]
-
-
-def test_many_terms_take_the_joined_way(spark):
-    rows = pii.with_base_spans(h.frame(spark, ["Alpha beta alpha", "gamma", None]).select("doc_id", "text"))
-    terms = spark.createDataFrame([("alpha",), ("gamma",)], "term string")
-    show = lambda df: {r["doc_id"]: [tuple(x) for x in r["_term"]] for r in df.collect()}
-    assert show(pii.with_term_spans(rows, terms, set_terms=1)) == show(pii.with_term_spans(rows, terms)) == {0: [(0, 5), (11, 16)], 1: [(0, 5)], 2: []}
-
-
 def test_quality_scores_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.01"
     out = queries.QUERIES["op9_quality_classifier"](spark, sf).join(common.read(spark, sf, "labels"), "doc_id").where("held_out").toPandas()

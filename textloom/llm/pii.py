@@ -1,28 +1,33 @@
 """Personal data: pattern spans, then information-theoretic sanitisation of the words that give them away.
 
 Base spans are emails, IPv4 addresses, payment cards and phone numbers, found leftmost and without overlap by kind.
-The added spans come from the corpus: a term is any lower-cased word with a letter; a context is what stands around
-one base span. A term discloses an entity (a base span's text) if it stands in ``min_contexts`` different contexts of
-it, the share of the term's texts that these make reaches ``min_share``, and the point-wise information
-log2(P(entity | term) / P(entity)) reaches ``min_bits``. Occurrences of disclosing terms are spans of kind ``term``,
-generalised to a placeholder by :func:`sanitise`. Copies of a text or of a context count once, so that a passage
-which is merely copied does not turn its words into disclosures.
+The added spans come from the corpus. A term is a lower-cased run of letters and digits with a letter, outside base spans;
+an entity is the text of a base span; the two co-occur in a sentence. Everything is counted in texts: a sentence belongs
+to one text, the least hash of those that have it, so copies and copied passages count once and one text alone never
+discloses. A term discloses an entity if they share at least ``min_texts`` texts, these are at least ``min_share`` of the
+term's texts, and the association is significant: the likelihood ratio statistic of the two-by-two table over all
+texts (twice their number times the mutual information of the two events) is at least ``min_g``. Every pair of a term and
+an entity is tested. Occurrences of disclosing terms are spans of kind ``term``, generalised to a placeholder by
+:func:`sanitise`.
 
 Only DataFrame functions. Patterns use possessive loops that match what the greedy ones do but neither recurse nor
-rescan runs, so very long texts are linear. Pair counts grow with the spans found, not the square of anything; every
-count is partial before its shuffle. Disclosing terms are used as a set in the plan up to ``set_terms``; beyond
-that they are joined by word and returned by text.
+rescan runs, and positions are summed in blocks, so very long texts cost little more than their length. An entity of
+fewer than ``min_texts`` texts cannot be disclosed and makes no pair; every count is partial before its shuffle.
+Disclosing terms are used as a set in the plan up to ``set_terms``; beyond that they are joined by word and text.
 
 Defined cases: null and empty texts have no spans (the digest of nothing); repeated rows get the same spans and count
-once as contexts; an empty table gives no rows; other columns pass through :func:`sanitise`.
+once; an empty table gives no rows; other columns pass through under any name, but for those named as added.
 """
 
 from __future__ import annotations
 
+import itertools
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import WORD, join_small, stored
+from textloom.llm.common import join_small, prefixed, stored
 
 _LOCAL, _HOST = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]"
 #: By kind, as listed: the pattern, and a cheap test without which it cannot match.
@@ -34,161 +39,227 @@ PATTERNS = {
 }
 TERM = "term"
 _SPANS = "array<struct<s:int,e:int>>"
+#: A term, an end of a sentence, and the mark before an entity in a text whose base spans are taken out.
+_RUN, _STOP, _MARK = r"[\p{L}\p{N}]+", r"[.!?]+[\x20\x09-\x0D]+|\n+", "\uE000"
+#: Elements summed at a time.
+_BLOCK = 256
+_TEXT = "coalesce(_text, '')"
 
 
-def _digits(m: Column) -> Column:
-    return F.regexp_replace(m, "[^0-9]", "")
+# Expressions over spans are SQL text: they are built and parsed far faster than column by column.
+_names = itertools.count()
 
 
-def _luhn(d: Column) -> Column:
-    """Whether a string of digits passes the Luhn test."""
-    digit = lambda i: (F.ascii(F.substring(d, -i, 1)) - 48)
-    twice = lambda x: 2 * x - F.when(x > 4, 9).otherwise(0)
-    places = F.sequence(F.lit(1), F.length(d))
-    return F.aggregate(places, F.lit(0), lambda a, i: a + F.when(i % 2 == 0, twice(digit(i))).otherwise(digit(i))) % 10 == 0
+def _bound(value: str, use: Callable[[str], str]) -> str:
+    """``use`` of a value that is worked out once."""
+    v = f"v{next(_names)}"
+    return f"element_at(transform(array({value}), {v} -> {use(v)}), 1)"
+
 
+def _scan(items: str, value: Callable[[str], str], combine: Callable[[str, str], str], emit: Callable[[str, str], str], emitted: str) -> str:
+    """``emit(before, x)`` of each element, ``before`` being the combined values of all earlier ones from 0."""
+    none = f"cast(array() as array<{emitted}>)"
+    total = f"b -> aggregate(b, 0, (a, x) -> cast({combine('a', value('x'))} as int))"
+    sums = lambda bs: f"aggregate(transform({bs}, {total}), array(0), (a, t) -> concat(a, array(cast({combine('element_at(a, -1)', 't')} as int))))"
+    step = f"(a, x) -> struct(cast({combine('a.at', value('x'))} as int) as at, concat(a.out, array({emit('a.at', 'x')})) as out)"
+    inside = lambda bs, before: f"flatten(transform({bs}, (b, i) -> aggregate(b, struct({before}[i] as at, {none} as out), {step}, a -> a.out)))"
+    blocks = lambda p: f"transform(sequence(0, cast(floor((size({p}) - 1) / {_BLOCK}) as int)), i -> slice({p}, i * {_BLOCK} + 1, {_BLOCK}))"
+    every = lambda p: _bound(blocks(p), lambda bs: _bound(sums(bs), lambda before: inside(bs, before)))
+    return _bound(items, lambda p: f"if(size({p}) > 0, {every(p)}, {none})")
 
-def _small_parts(m: Column) -> Column:
-    part = lambda p: F.regexp_replace(p, "^0+", "")
-    return F.forall(F.split(m, r"\."), lambda p: (F.length(part(p)) <= 3) & (F.coalesce(part(p).try_cast("int"), F.lit(0)) <= 255))
+
+def _luhn(d: str) -> str:
+    """Whether a string of digits passes the Luhn test."""
+    digit = f"(ascii(substring({d}, -i, 1)) - 48)"
+    twice = f"(2 * {digit} - if({digit} > 4, 9, 0))"
+    return f"aggregate(sequence(1, length({d})), 0, (n, i) -> n + if(i % 2 = 0, {twice}, {digit})) % 10 = 0"
 
 
-def _valid(kind: str, m: Column) -> Column:
+def _valid(kind: str, m: str) -> str:
+    digits = f"regexp_replace({m}, '[^0-9]', '')"
     if kind == "ip":
-        return _small_parts(m)
+        part = "regexp_replace(q, '^0+', '')"
+        return f"forall(split({m}, '[.]'), q -> length({part}) <= 3 and coalesce(try_cast({part} as int), 0) <= 255)"
     if kind == "card":
-        return F.when(F.length(_digits(m)).between(16, 19), _luhn(_digits(m))).otherwise(F.lit(False))
+        return _bound(digits, lambda d: f"if(length({d}) between 16 and 19, {_luhn(d)}, false)")
     if kind == "phone":
-        return F.length(_digits(m)).between(8, 15)
-    return F.lit(True)
+        return f"length({digits}) between 8 and 15"
+    return "true"
 
 
-def _spans(text: Column, pattern: str, accept) -> Column:
+def _spans(text: str, pattern: str, accept: Callable[[str], str]) -> str:
     """[start, end) in code points of the pattern's accepted matches, in order."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pairs = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), found.alias("hit"))
-    none = F.array().cast(_SPANS)
+    pairs = f"arrays_zip(split({text}, r'{pattern}', -1), regexp_extract_all({text}, r'{pattern}', 0))"
+    pairs = f"transform({pairs}, z -> struct(z['0'] as gap, z['1'] as hit))"
+    size = lambda x: f"(length({x}.gap) + coalesce(length({x}.hit), 0))"
+    keep = lambda x: f"if({x}.hit is not null, {accept(f'{x}.hit')}, false)"
+    span = lambda before, x: f"struct({before} + length({x}.gap) as s, {before} + {size(x)} as e, {keep(x)} as keep)"
+    every = _scan(pairs, size, lambda a, b: f"{a} + {b}", span, "struct<s:int,e:int,keep:boolean>")
+    return f"transform(filter({every}, y -> y.keep), y -> struct(y.s as s, y.e as e))"
+
+
+def base_spans(text: str) -> dict[str, str]:
+    """The spans of each kind of a text that is not null."""
+    found = {}
+    for kind, (pattern, needed) in PATTERNS.items():
+        test = f"contains({text}, '{needed}')" if kind == "email" else f"{text} rlike r'{needed}'"
+        found[kind] = f"if({test}, {_spans(text, pattern, lambda m, k=kind: _valid(k, m))}, cast(array() as {_SPANS}))"
+    return found
 
-    def step(a: Column, x: Column) -> Column:
-        start = a["at"] + F.length(x["gap"])
-        end = start + F.coalesce(F.length(x["hit"]), F.lit(0))
-        more = F.concat(a["out"], F.array(F.struct(start.cast("int").alias("s"), end.cast("int").alias("e"))))
-        keep = F.when(x["hit"].isNotNull(), accept(x["hit"])).otherwise(F.lit(False))
-        return F.struct(end.cast("int").alias("at"), F.when(keep, more).otherwise(a["out"]).alias("out"))
 
-    start = F.struct(F.lit(0).alias("at"), none.alias("out"))
-    return F.aggregate(pairs, start, step, lambda a: a["out"])
+def _replaced(text: str, spans: dict[str, str], show: Callable[[str, str], str]) -> str:
+    """``text`` with ``show(kind, hit)`` in place of each span; of overlapping spans, the first shows."""
+    each = [f"transform({x}, y -> struct(y.s as s, -y.e as e, '{k}' as k))" for k, x in spans.items()]
+    hit = lambda x: f"substring({text}, {x}.s + 1, -{x}.e - {x}.s)"
+    gap = lambda before, x: f"substring({text}, {before} + 1, greatest(0, {x}.s - {before}))"
+    piece = lambda before, x: f"if({x}.s >= {before}, concat({gap(before, x)}, {show(f'{x}.k', hit(x))}), '')"
+    pieces = lambda xs: _scan(xs, lambda x: f"-{x}.e", lambda a, b: f"greatest({a}, {b})", piece, "string")
+    rest = lambda xs: f"substring({text}, -array_min(transform({xs}, y -> y.e)) + 1, length({text}))"
+    return _bound(f"sort_array(concat({', '.join(each)}))", lambda xs: f"if(size({xs}) > 0, concat(array_join({pieces(xs)}, ''), {rest(xs)}), {text})")
 
 
-def with_base_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Adds ``_email``, ``_ip``, ``_card`` and ``_phone``: spans of each kind."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    cols = {}
-    for kind, (pattern, needed) in PATTERNS.items():
-        test = F.contains(text, F.lit(needed)) if kind == "email" else text.rlike(needed)
-        cols[f"_{kind}"] = F.when(test, _spans(text, pattern, lambda m, k=kind: _valid(k, m))).otherwise(F.array().cast(_SPANS))
-    return docs.withColumns(cols)
+def _in_brackets(kind: str, hit: str) -> str:
+    return f"concat('[', upper({kind}), ']')"
+
+
+def _until_clean(text: str) -> str:
+    """``text`` without base spans: what is left may match anew, so they are replaced until none is found.
+
+    Each round that changes the text takes a digit or an @ out, which bounds the rounds.
+    """
+    most = f"length(regexp_replace({text}, '[^0-9@]+', '')) + 1"
+    again = _bound(_replaced("f.t", base_spans("f.t"), _in_brackets), lambda t: f"struct({t} as t, {t} <> f.t as open)")
+    return f"aggregate(sequence(1, {most}), struct({text} as t, true as open), (f, r) -> if(f.open, {again}, f), f -> f.t)"
 
 
 def terms_of(text: Column) -> Column:
-    """Distinct lower-cased words with a letter."""
-    words = F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
-    return F.filter(F.array_distinct(words), lambda w: w.rlike(r"\p{L}"))
-
-
-def disclosing_terms(spanned: DataFrame, text_col: str = "text", reach: int = 60, min_contexts: int = 3, min_share: float = 0.5, min_bits: float = 8.0) -> DataFrame:
-    """(``term``): terms that reveal an entity, from documents with base spans. ``reach``: characters on each side."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = spanned.select(text.alias("_t"), F.xxhash64(text).alias("h"), *[f"_{k}" for k in PATTERNS])
-    every = F.concat(*[F.col(f"_{k}") for k in PATTERNS])
-    held = rows.where(F.size(every) > 0).select("_t", "h", F.explode(every).alias("x"))
-    # the word pieces cut off at either end of the reach are not terms
-    left = F.regexp_replace(F.substr("_t", F.greatest(F.lit(1), F.col("x.s") - reach + 1), F.least(F.lit(reach), F.col("x.s"))), r"^[^\x20\x09-\x0D]+", "")
-    right = F.regexp_replace(F.substr("_t", F.col("x.e") + 1, F.lit(reach)), r"[^\x20\x09-\x0D]+$", "")
-    entity = F.substr("_t", F.col("x.s") + 1, F.col("x.e") - F.col("x.s"))
-    contexts = held.select("h", F.xxhash64(entity).alias("entity"), F.concat_ws(" ", left, right).alias("around"))
-    contexts = contexts.groupBy("entity", F.xxhash64("around").alias("context")).agg(F.min("around").alias("around"), F.min("h").alias("h"))
-    contexts = stored(contexts)
-    each = contexts.select("entity", "h", F.explode(terms_of(F.col("around"))).alias("term"))
-    pairs = each.groupBy("term", "entity").agg(F.count("*").alias("both")).where(F.col("both") >= min_contexts)
-    # a term stands in at least as many texts as its contexts come from: most terms fall short of the share already
-    least = each.groupBy("term", "h").count().groupBy("term").agg(F.count("*").alias("least"))
-    pairs = pairs.join(least, "term").where(F.col("both") >= F.col("least") * min_share)
-    pairs = stored(pairs.select("term", "both", "entity"))
-    texts = rows.select("_t", "h")
-    marked = texts.select("h", F.explode(terms_of(F.col("_t"))).alias("word"))
-    per_term = join_small(marked, pairs.select(F.col("term").alias("word")).distinct(), "word", "left_semi")
-    per_term = per_term.groupBy("word", "h").count().groupBy("word").agg(F.count("*").alias("texts"))
-    n_texts = texts.groupBy("h").count().groupBy().agg(F.count("*").alias("n"))
-    per_entity = contexts.groupBy("entity").agg(F.count("*").alias("own"))
-    per_entity = per_entity.join(pairs.select("entity").distinct(), "entity", "left_semi")
-    share = F.least(F.lit(1.0), F.col("both") / F.col("texts"))
-    out = pairs.join(per_term, F.col("term") == F.col("word")).join(per_entity, "entity").crossJoin(F.broadcast(n_texts))
-    out = out.where((share >= min_share) & (F.log2(share / (F.col("own") / F.col("n"))) >= min_bits))
-    return out.select("term").distinct()
-
-
-def with_term_spans(spanned: DataFrame, terms: DataFrame, text_col: str = "text", set_terms: int = 5_000) -> DataFrame:
-    """Adds ``_term``: spans of the words that are among ``terms``."""
+    """Distinct lower-cased runs of letters and digits with a letter."""
+    runs = F.regexp_extract_all(F.lower(text), F.lit(_RUN), F.lit(0))
+    return F.filter(F.array_distinct(runs), lambda w: w.rlike(r"\p{L}"))
+
+
+def _renamed(docs: DataFrame, text_col: str) -> DataFrame:
+    others = [prefixed(c) for c in docs.columns if c != text_col]
+    return docs.select(F.col(f"`{text_col}`").alias("_text"), *others)
+
+
+def _spanned(renamed: DataFrame) -> DataFrame:
+    found = base_spans(_TEXT)
+    # a column for each kind: fields of a struct would be worked out anew wherever they are used
+    return renamed.withColumns({f"_{k}": F.expr(found[k]) for k in PATTERNS})
+
+
+def _columns(kinds: tuple[str, ...]) -> dict[str, str]:
+    return {k: f"_{k}" for k in kinds}
+
+
+def _log_ratio(both: Column, own: Column, other: Column, n: Column) -> Column:
+    """The likelihood ratio statistic of two events that ``both`` of ``n`` texts share."""
+    cell = lambda seen, a, b: F.when(seen > 0, seen * F.log(seen * n / (a * b))).otherwise(F.lit(0.0))
+    return 2 * (cell(both, own, other) + cell(own - both, own, n - other) + cell(other - both, n - own, other) + cell(n - own - other + both, n - own, n - other))
+
+
+def disclosing_terms(spanned: DataFrame, min_texts: int = 3, min_share: float = 0.5, min_g: float = 20.0) -> DataFrame:
+    """(``term``): terms that reveal an entity, from rows with ``_text`` and base spans."""
+    marked = lambda kind, hit: f"concat(' {_MARK}', hex(xxhash64({hit})), ' ')"
+    base = _columns(tuple(PATTERNS))
+    has_base = F.expr(f"size(concat({', '.join(base.values())})) > 0")
+    plain = spanned.withColumn("_plain", F.expr(f"replace({_TEXT}, '{_MARK}', ' ')"))
+    taken_out = F.when(has_base, F.expr(_replaced("_plain", base, marked))).otherwise(F.col("_plain"))
+    rows = plain.select(F.xxhash64("_plain").alias("h"), taken_out.alias("t"), has_base.alias("held"))
+    sentences = rows.select("h", "held", F.explode(F.split("t", _STOP, -1)).alias("s"))
+    unit = F.xxhash64("s")
+    held = sentences.where(F.col("held") & F.contains("s", F.lit(_MARK)))
+    held = stored(held.groupBy(unit.alias("unit")).agg(F.min("h").alias("own"), F.min("s").alias("s")))
+    entities = F.array_distinct(F.regexp_extract_all("s", F.lit(f"{_MARK}([0-9A-F]+)"), F.lit(1)))
+    words = lambda s: terms_of(F.regexp_replace(s, f"{_MARK}[0-9A-F]+", " "))
+
+    texts_of = lambda df, *key: df.groupBy(*key, "own").count().groupBy(*key).agg(F.count("*").alias("n"))
+    of_entity = held.select("unit", "own", F.explode(entities).alias("entity"))
+    per_entity = stored(texts_of(of_entity, "entity").where(F.col("n") >= min_texts).withColumnRenamed("n", "n_entity"))
+    if per_entity.isEmpty():
+        return held.select(F.col("s").alias("term")).limit(0)
+    known = join_small(of_entity, per_entity.select("entity"), "entity", "left_semi")
+    each = known.join(held.select(F.col("unit").alias("_unit"), "s"), F.col("unit") == F.col("_unit")).select("entity", "own", F.explode(words(F.col("s"))).alias("term"))
+    pairs = texts_of(each, "term", "entity").where(F.col("n") >= min_texts).withColumnRenamed("n", "both")
+    # a term has at least the texts of its sentences with entities: most fall short of the share already
+    least = texts_of(held.select("own", F.explode(words(F.col("s"))).alias("term")), "term").withColumnRenamed("n", "least")
+    pairs = stored(pairs.join(least, "term").where(F.col("both") >= F.col("least") * min_share).select("term", "entity", "both"))
+    if pairs.isEmpty():
+        return pairs.select("term")
+    wanted = pairs.select("term").distinct()
+    seen = sentences.select("h", unit.alias("unit"), F.explode(words(F.col("s"))).alias("term"))
+    seen = join_small(seen, wanted, "term", "left_semi").groupBy("term", "unit").agg(F.min("h").alias("own"))
+    per_term = texts_of(seen, "term").withColumnRenamed("n", "n_term")
+    total = rows.where(F.col("t").rlike(_RUN)).select("h").distinct().count()
+    tested = pairs.join(per_term, "term").join(per_entity, "entity")
+    share, n = F.col("both") / F.col("n_term"), F.lit(float(total))
+    linked = F.col("both") * n > F.col("n_term") * F.col("n_entity")
+    strong = _log_ratio(F.col("both"), F.col("n_term"), F.col("n_entity"), n) >= min_g
+    return tested.where((share >= min_share) & linked & strong).select("term").distinct()
+
+
+def with_term_spans(spanned: DataFrame, terms: DataFrame, set_terms: int = 5_000) -> DataFrame:
+    """Adds ``_term`` to rows with ``_text``: spans of the runs that are among ``terms``."""
     terms = stored(terms)
     some = [r["term"] for r in terms.limit(set_terms + 1).collect()]
     none = F.array().cast(_SPANS)
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    text = F.expr(_TEXT)
     if not some:
         return spanned.withColumn("_term", none)
     if len(some) <= set_terms:
         known = F.exists(terms_of(text), lambda w: w.isin(some))
-        return spanned.withColumn("_term", F.when(known, _spans(text, WORD, lambda m: F.lower(m).isin(some))).otherwise(none))
+        # terms hold letters and digits alone, so they can be quoted as they are
+        listed = ", ".join(f"'{w}'" for w in some)
+        return spanned.withColumn("_term", F.when(known, F.expr(_spans(_TEXT, _RUN, lambda m: f"lower({m}) in ({listed})"))).otherwise(none))
     keyed = spanned.withColumn("_h", F.xxhash64(text, F.length(text)))
-    words = keyed.select("_h", F.explode(terms_of(text)).alias("term"))
-    own = words.join(terms, "term").groupBy("_h").agg(F.collect_set("term").alias("_own"))
-    out = keyed.join(own, "_h", "left")
-    found = _spans(text, WORD, lambda m: F.array_contains("_own", F.lower(m)))
+    words = keyed.select("_h", F.explode(terms_of(text)).alias("term")).distinct()
+    own = stored(words.join(terms, "term").groupBy("_h").agg(F.collect_set("term").alias("_own")))
+    out = join_small(keyed, own, "_h", "left")
+    found = F.expr(_spans(_TEXT, _RUN, lambda m: f"array_contains(_own, lower({m}))"))
     return out.withColumn("_term", F.when(F.col("_own").isNotNull(), found).otherwise(none)).drop("_h", "_own")
 
 
-def _of_kind(kind: str, show) -> Column:
-    """The spans of a kind, each as ``show(span, kind)``."""
-    return F.transform(f"_{kind}", lambda x: show(x, F.lit(kind)))
+def _found(docs: DataFrame, text_col: str, **limits) -> DataFrame:
+    """``docs`` renamed, with the spans of every kind as columns."""
+    spanned = _spanned(_renamed(docs, text_col))
+    return with_term_spans(spanned, disclosing_terms(spanned, **limits))
 
 
-def _listed(kinds: list[str]) -> Column:
-    each = [_of_kind(k, lambda x, kind: F.concat_ws(":", kind, x["s"], x["e"])) for k in kinds]
-    return F.array_join(F.concat(*each), ",")
+def find_personal_data(docs: DataFrame, text_col: str = "text", added: str = "personal_data", **limits) -> DataFrame:
+    """``docs`` with ``added``: a struct of the spans [s, e) of each kind, ``term`` the last."""
+    found = _found(docs.drop(added), text_col, **limits)
+    every = F.struct(*[F.col(x).alias(k) for k, x in _columns((*PATTERNS, TERM)).items()])
+    return found.select(*_back(docs.drop(added), text_col, F.col("_text")), every.alias(added))
 
 
-def find_personal_data(docs: DataFrame, text_col: str = "text", **limits) -> DataFrame:
-    """``docs`` with the spans of every kind: ``_email``, ``_ip``, ``_card``, ``_phone`` and ``_term``."""
-    spanned = with_base_spans(docs, text_col)
-    return with_term_spans(spanned, disclosing_terms(spanned, text_col, **limits), text_col)
+def _back(docs: DataFrame, text_col: str, text: Column) -> list[Column]:
+    return [(text if c == text_col else F.col(f"`_in_{c}`")).alias(c) for c in docs.columns]
 
 
 def sanitise(docs: DataFrame, text_col: str = "text", **limits) -> DataFrame:
-    """``docs`` with each span of personal data replaced by its kind in brackets; overlapping spans become one."""
-    renamed = docs.select(F.col(text_col).alias("_text"), *[F.col(c).alias(f"_in_{c}") for c in docs.columns if c != text_col])
-    found = find_personal_data(renamed, "_text", **limits)
-    kinds = [*PATTERNS, TERM]
-    every = F.concat(*[_of_kind(k, lambda x, kind: F.struct(x["s"].alias("s"), (-x["e"]).alias("e"), kind.alias("k"))) for k in kinds])
-    found = found.withColumn("_all", F.sort_array(every))
+    """``docs`` with each span of personal data replaced by its kind in brackets; overlapping spans become one.
+
+    What stands around a replaced span may then match a pattern: texts are cleaned until no base span is left.
+    """
+    found = _found(docs, text_col, **limits)
+    spans = _columns((*PATTERNS, TERM))
+    clean = F.expr(_bound(_replaced("_text", spans, _in_brackets), _until_clean))
+    return found.select(*_back(docs, text_col, F.when(F.size(F.concat(*spans.values())) > 0, clean).otherwise(F.col("_text"))))
 
-    def step(a: Column, x: Column) -> Column:
-        fresh = x["s"] >= a["at"]
-        gap = F.substr("_text", a["at"] + 1, F.greatest(F.lit(0), x["s"] - a["at"]))
-        out = F.when(fresh, F.concat(a["out"], gap, F.lit("["), F.upper(x["k"]), F.lit("]"))).otherwise(a["out"])
-        return F.struct(F.greatest(a["at"], -x["e"]).alias("at"), out.alias("out"))
 
-    rest = lambda a: F.concat(a["out"], F.substr("_text", a["at"] + 1, F.length("_text")))
-    clean = F.aggregate("_all", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, rest)
-    clean = F.when(F.size("_all") > 0, clean).otherwise(F.col("_text"))
-    return found.select(*[(clean if c == text_col else F.col(f"_in_{c}")).alias(c) for c in docs.columns])
+def _listed(spans: dict[str, str]) -> Column:
+    each = [f"transform({x}, y -> concat_ws(':', '{k}', y.s, y.e))" for k, x in spans.items()]
+    return F.expr(f"array_join(concat({', '.join(each)}), ',')")
 
 
 def digest(docs: DataFrame) -> DataFrame:
     """The registered query's columns, one row per document."""
-    found = find_personal_data(docs.select("doc_id", "text"))
+    found = _found(docs.select("doc_id", "text"), "text")
+    base = _columns(tuple(PATTERNS))
     return found.select(
-        "doc_id",
-        *[F.size(f"_{k}").cast("long").alias(f"n_{k}") for k in PATTERNS],
-        F.sha2(_listed([*PATTERNS]).cast("binary"), 256).alias("base_sha256"),
-        _listed([*PATTERNS, TERM]).alias("spans"),
+        F.col("_in_doc_id").alias("doc_id"),
+        *[F.size(x).cast("long").alias(f"n_{k}") for k, x in base.items()],
+        F.sha2(_listed(base).cast("binary"), 256).alias("base_sha256"),
+        _listed(_columns((*PATTERNS, TERM))).alias("spans"),
     )
