@@ -11,6 +11,7 @@ import xxhash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 FOLDED = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+BYTES = re.compile(rb"[^\x20\x09-\x0D]+")
 LOWER = {i: i + 32 for i in range(65, 91)}
 DOCUMENT = "doc_id long, text string, lang string, source string, n_chars long"
 

@@ -1,4 +1,8 @@
+import math
 import random
+import re
+import zlib
+from types import SimpleNamespace
 
 import helpers as h
 import numpy as np
@@ -125,6 +129,89 @@ def test_repeated_ids_share_the_threshold(spark):
     assert abs(out["taken"].sum() - out["target"].iloc[0]) <= 4 and out["taken"].nunique() == 1
 
 
+def statistics_spec(t):
+    w, n = h.BYTES.findall((t or "").encode()), len(h.BYTES.findall((t or "").encode()))
+    raw = (t or "").encode()
+    if not n:
+        return [0.0] * 14
+    count = lambda p: len(re.findall(p, raw))
+    lines = [x.strip() for x in raw.split(b"\n") if x.strip()]
+    marks = rb"[!-/:-@\[-`{-~]"
+    return [
+        math.log(n), math.log(sum(map(len, w)) / n), math.sqrt(count(rb"[A-Z]") / max(1, count(rb"[A-Za-z]"))), math.sqrt(count(rb"[#*$%&|<>]") / n),
+        math.sqrt(count(rb"!") / n), math.sqrt(count(rb"[.!?]") / n), math.sqrt(count(marks) / n), math.sqrt(count(rb"[0-9]") / len(raw)),
+        math.sqrt((len(raw) - len(t)) / len(raw)), math.sqrt(sum(a == b for a, b in zip(w, w[1:], strict=False)) / n), math.log(len(set(w))) / math.log(n + 1),
+        math.sqrt(1 - len(set(lines)) / max(1, len(lines))), math.log(n / max(1, len(lines))), math.sqrt(sum(bool(re.fullmatch(marks, x)) for x in w) / n),
+    ]
+
+
+def test_scores_equal_the_densities_written_out(spark):
+    sf = "/root/testdata/sf0.001"
+    docs, labels = common.read(spark, sf, "documents"), common.read(spark, sf, "labels")
+    held = lambda d: zlib.crc32(str(d).encode()) % 4 == 2
+    texts = {r["doc_id"]: statistics_spec(r["text"]) for r in docs.collect()}
+    known = {r["doc_id"]: r["quality"] for r in labels.collect() if r["quality"] is not None and not held(r["doc_id"]) and r["doc_id"] in texts}
+    x, y = np.array([texts[d] for d in known]), np.array(list(known.values()))
+    z = (x - x.mean(axis=0)) / (x.std(axis=0) + 1e-3)
+    ratios = []
+    for k in (1, 0):
+        own = z[y == k]
+        cov = 0.9 * np.cov(own.T, bias=True) + 0.1 * np.eye(14)
+        gone = {d: (np.array(v) - x.mean(axis=0)) / (x.std(axis=0) + 1e-3) - own.mean(axis=0) for d, v in texts.items()}
+        ratios.append({d: -0.5 * g @ np.linalg.solve(cov, g) - 0.5 * np.linalg.slogdet(cov)[1] for d, g in gone.items()})
+    ratio = {d: ratios[0][d] - ratios[1][d] for d in texts}
+    model = quality_classifier.train(docs, labels, ~quality_classifier.held_out(F.col("doc_id")))
+    assert model.slope > 0
+    got = by_id(queries.QUERIES["op9_quality_classifier"](spark, sf), "score", "held_out", "predicted")
+    for d, (score, out, predicted) in got.items():
+        assert score == pytest.approx(1 / (1 + math.exp(-max(-30, min(30, model.slope * ratio[d] + model.offset)))), rel=1e-6, abs=1e-9)
+        assert out == held(d) and predicted == (score >= 0.7)
+
+
+def test_calibration_is_the_best_logistic_curve():
+    rng = np.random.default_rng(3)
+    r, y = rng.normal(0, 3, 400), None
+    y = (rng.random(400) < 1 / (1 + np.exp(-(0.7 * r + 0.4)))).astype(int)
+    a, b = quality_classifier._calibration(r, y)
+    target = np.where(y == 1, (y.sum() + 1) / (y.sum() + 2), 1 / ((1 - y).sum() + 2))
+    p = lambda a, b: 1 / (1 + np.exp(-(a * r + b)))
+    loss = lambda a, b: -(target * np.log(p(a, b)) + (1 - target) * np.log(1 - p(a, b))).sum()
+    assert all(loss(a, b) <= loss(a + da, b + db) + 1e-9 for da in (-0.01, 0, 0.01) for db in (-0.01, 0, 0.01))
+
+
+def test_answers_equal_a_plain_forward_pass(spark):
+    docs = h.frame(spark, [*h.texts(40), "é" * 700, "a" * 100_000, "w " * 30_000], lang="en").withColumn("lang", F.when(F.col("doc_id") % 2 == 0, "en").otherwise("xx"))
+    net = language_id.train(docs, F.lit(True), max_docs=30, steps=40)
+    got = by_id(language_id.predict(docs.select("doc_id", "text"), net), "lang_pred", "score")
+    for d, t in enumerate([*h.texts(40), "é" * 700, "a" * 100_000, "w " * 30_000]):
+        raw = (t or "").encode()
+        if not any(map(str.isalpha, t or "")):
+            assert got[d] == ("und", 0.0)
+            continue
+        total = np.zeros(len(net.langs))
+        for at in range(0, min(len(raw), 4_000) if d == 41 else len(raw), language_id.WINDOW):
+            window = raw[at : at + language_id.WINDOW]
+            x = net.embed[np.frombuffer(window.ljust(language_id.WINDOW, b"\0"), np.uint8)]
+            pooled = [max(0.0, max(float((x[i : i + w] * f[:, :, j]).sum()) for i in range(len(x) - w + 1)) + net.bias[own * language_id.FILTERS + j]) for own, (w, f) in enumerate(zip(language_id.WIDTHS, net.filters, strict=True)) for j in range(language_id.FILTERS)] if d < 12 else list(np.maximum(net.pooled(np.frombuffer(window.ljust(language_id.WINDOW, b"\0"), np.uint8)[None], net.tables())[0][0], 0))
+            total += len(window) * (np.array(pooled) @ net.dense + net.dense_bias)
+        if d == 41:
+            continue
+        p = np.exp(total / len(raw) - (total / len(raw)).max())
+        assert got[d][0] == net.langs[int(p.argmax())] and got[d][1] == pytest.approx(p.max() / p.sum(), rel=1e-3)
+
+
+def test_seventy_languages_are_all_learned(spark):
+    rng = random.Random(2)
+    words = {k: ["".join(rng.choices(rng.sample("abcdefghijklmnopqrstuvwxyz", 5), k=6)) for _ in range(30)] for k in range(70)}
+    given = [(k * 10 + j, " ".join(rng.choices(words[k], k=60)), f"l{k:02}") for k in range(70) for j in range(8)]
+    docs = spark.createDataFrame(given, "doc_id long, text string, lang string")
+    net = language_id.train(docs, F.lit(True), steps=200)
+    assert len(net.langs) == 70
+    assert {r["lang"]: r["n"] for r in language_id.sample(docs, F.lit(True), 5).groupBy("lang").agg(F.count("*").alias("n")).collect()} == {f"l{k:02}": 5 for k in range(70)}
+    out = by_id(language_id.predict(docs.select("doc_id", "text"), net), "lang_pred")
+    assert np.mean([out[d] == (lang,) for d, _, lang in given]) > 0.8
+
+
 def test_quality_scores_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.01"
     out = queries.QUERIES["op9_quality_classifier"](spark, sf).join(common.read(spark, sf, "labels"), "doc_id").where("held_out").toPandas()
@@ -185,12 +272,22 @@ def test_entries_hold_between_their_days(spark):
     assert url_filters.evaluate(rows, entries.limit(0)).where("blocked").count() == 0
 
 
-def test_salted_joins_equal_broadcast_ones(spark):
+def test_split_joins_equal_broadcast_ones(spark):
     big = spark.createDataFrame([(k, None if k % 3 == 0 else "a" if k % 3 == 1 else "zz") for k in range(90)], "i long, k string")
     small = spark.createDataFrame([(None, 1), ("a", 2), ("b", 3)], "k string, v int")
     for how in ("inner", "left", "left_semi"):
-        a, b = (common.join_small(big, small, "k", how, limit=n).collect() for n in (10, 1))
-        assert sorted(map(str, a)) == sorted(map(str, b))
+        a, b, c = (common.join_small(big, small, "k", how, limit=n, hot_rows=hot).collect() for n, hot in ((10, 1), (1, 1), (1, 1000)))
+        assert sorted(map(str, a)) == sorted(map(str, b)) == sorted(map(str, c))
+
+
+def test_scratch_is_shared_and_deleted(spark):
+    table = common.stored(spark.range(3))
+    common.discard(table)
+    with pytest.raises(Exception, match="(?i)path"):
+        spark.read.parquet(table._scratch)
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(RuntimeError, match="share"):
+        common.shared_dir(SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *_: None)))
 
 
 NAMES = [q for q in queries.QUERIES if q != "op5_url_filters"]

@@ -116,7 +116,7 @@ def test_a_common_entity_does_not_hide_a_term_s_own(spark):
 def test_many_terms_take_the_joined_way(spark):
     rows = pii._renamed(h.frame(spark, ["Alpha, beta alpha", "gamma", None, "alpha " * 3000]).select("doc_id", "text"), "text")
     terms = spark.createDataFrame([("alpha",), ("gamma",)], "term string")
-    show = lambda df: {r["_in_doc_id"]: [tuple(x) for x in r["_term"]] for r in df.collect()}
+    show = lambda df: {r["_in_doc__id"]: [tuple(x) for x in r["_term"]] for r in df.collect()}
     expected = {0: [(0, 5), (12, 17)], 1: [(0, 5)], 2: [], 3: [(6 * k, 6 * k + 5) for k in range(3000)]}
     assert show(pii.with_term_spans(rows, terms, set_terms=1)) == show(pii.with_term_spans(rows, terms)) == expected
 

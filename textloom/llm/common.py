@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 import atexit
-import os
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: Characters that separate words: space and the ASCII controls tab to carriage return.
 SPACES = " \t\n\x0b\f\r"
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows up to which a side of a join is broadcast; its rows are counted first.
 BROADCAST_ROWS = 20_000
+#: Rows from which a key can be hot, and how many keys can be.
+HOT_ROWS, HOT_KEYS = 100_000, 10_000
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -23,9 +24,12 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, as the cluster names it; a temporary one only where none is named."""
+    """The folder all executors share, as the cluster names it; a temporary one only where none is named and Spark is local."""
     named = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
         named = tempfile.mkdtemp(prefix="textloom-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(named)
@@ -52,32 +56,57 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark)}/textloom/{uuid.uuid4().hex}"
     df.write.parquet(path)
     atexit.register(_delete_at_exit, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that :func:`stored` wrote, once nothing reads them any more."""
+    for df in tables:
+        if path := getattr(df, "_scratch", None):
+            _delete(df.sparkSession, path)
 
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def column(name: str) -> Column:
+    """The column of that very name, dots and all."""
+    quoted = name.replace("`", "``")
+    return F.col(f"`{quoted}`")
+
+
+def working(name: str, prefix: str = "_in_") -> str:
+    """A name for a caller's column that no other working column has, without dots or quotes."""
+    return prefix + name.replace("_", "__").replace(".", "_d").replace("`", "_q")
+
+
 def prefixed(name: str, prefix: str = "_in_") -> Column:
-    """A caller's column under a name that no working column has."""
-    return F.col(f"`{name}`").alias(f"{prefix}{name}")
+    return column(name).alias(working(name, prefix))
 
 
-def join_small(big: DataFrame, small: DataFrame, key: str, how: str = "inner", salts: int = 32, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Joins ``small`` (one row per key) to ``big``; nulls in the key match each other.
+def join_small(big: DataFrame, small: DataFrame, key: str, how: str = "inner", limit: int = BROADCAST_ROWS, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Joins ``small`` (one row per key) to ``big``; nulls in the key match each other. ``how``: inner, left or left_semi.
 
-    ``small`` is broadcast only when a count shows at most ``limit`` rows. Beyond that the join is
-    salted: each of its rows is copied ``salts`` times and the rows of a hot key spread over the copies.
+    ``small`` is broadcast only when a count shows at most ``limit`` rows. Beyond that both are dealt by key, but for
+    hot keys: those of more than ``hot_rows`` rows and a ten-thousandth of ``big``, of which there are ten thousand at most,
+    meet their rows of ``small`` by broadcast.
     """
     names = [c for c in small.columns if c != key]
     small = small.select(F.col(key).alias("_k"), *names)
+    joined = lambda a, b: a.join(b, a[key].eqNullSafe(b["_k"]), how).drop("_k")
     if len(small.limit(limit + 1).select("_k").collect()) <= limit:
-        return big.join(F.broadcast(small), big[key].eqNullSafe(small["_k"]), how).drop("_k")
-    small = small.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    plain = [f"`{f.name}`" for f in big.schema if isinstance(f.dataType, T.AtomicType) and f.dataType.simpleString() != "variant"]
-    big = big.withColumn("_salt", F.pmod(F.xxhash64(F.lit(0), *plain), F.lit(salts)).cast("int"))
-    return big.join(small, big[key].eqNullSafe(small["_k"]) & (big["_salt"] == small["_copy"]), how).drop("_k", "_copy", "_salt")
+        return joined(big, F.broadcast(small))
+    counts = stored(big.groupBy(F.col(key).alias("_hot")).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows))
+    bound = big.count() // HOT_KEYS if not counts.isEmpty() else 0
+    hot = counts.where(F.col("_n") > bound).select("_hot")
+    if hot.isEmpty():
+        return joined(big, small)
+    split = lambda df, c, kind: df.join(F.broadcast(hot), df[c].eqNullSafe(hot["_hot"]), kind)
+    few = joined(split(big, key, "left_semi"), F.broadcast(split(small, "_k", "left_semi")))
+    return few.unionByName(joined(split(big, key, "left_anti"), split(small, "_k", "left_anti")))
 
 
 def crc_fold(doc_id: Column, folds: int) -> Column:
@@ -106,13 +135,13 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if not before[0]:
             break
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = stored(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("low")))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
+        first = stored(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("low")))
+        large = join_small(both, first, "a").where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
         large = stored(large.where("a <> b").distinct())
         low = stored(large.groupBy("a").agg(F.min("b").alias("low")))
-        joined = large.join(low, "a")
-        small = joined.where("b <> low").select(F.greatest("b", "low").alias("a"), F.least("b", "low").alias("b"))
-        edges = stored(small.union(low.select("a", F.col("low").alias("b"))).distinct())
+        small = join_small(large, low, "a").where("b <> low").select(F.greatest("b", "low").alias("a"), F.least("b", "low").alias("b"))
+        last, edges = edges, stored(small.union(low.select("a", F.col("low").alias("b"))).distinct())
+        discard(last, first, large, low)
         after = _signature(edges)
         if after == before:
             break

@@ -4,12 +4,13 @@ Bytes are embedded, filters of several widths slide over fixed-length windows, e
 window feeds a softmax layer, and a document's logits are the mean of its windows'. For prediction the embedding and
 filters fold into tables by byte and byte pair, which gives the same responses as the convolution.
 
-Training uses at most about ``max_docs`` documents of each of the ``max_langs`` most frequent languages, picked by a
-hash of their id, and ``windows`` windows spread over each text; prediction reads whole texts.
+Every language is learned, from ``max_docs`` documents of each at most, picked by a hash of their id and text and read
+whole: all their windows take part. Prediction reads whole texts, the windows of many documents at a time.
 
 Defined cases: null texts and texts without a letter give ``und`` with score 0; null languages are not learned; with
 one language learned it is always predicted, with none everything is ``und``; repeated rows get the same answer;
-other columns are not read.
+a text of any length counts every byte; other columns pass through :func:`predict` under any name, except the added ones,
+which are replaced.
 """
 
 from __future__ import annotations
@@ -20,14 +21,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.llm.common import crc_fold
+from textloom.llm.common import column, crc_fold, join_small, prefixed, working
 
 WINDOW, WIDTHS, FILTERS, EMBED = 256, (2, 3, 4), 16, 8
 #: Windows whose responses are computed at a time.
 BATCH = 512
+#: Text bytes whose windows are asked together.
+TOGETHER = 1 << 20
 _ASCII_LETTER = re.compile(rb"[A-Za-z]")
 
 
@@ -88,8 +91,11 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def fit(windows: np.ndarray, y: np.ndarray, langs: list[str], steps: int = 500, batch: int = 64, rate: float = 0.01, seed: int = 7) -> ByteConvNet:
-    """Trains by Adam on cross entropy; the same rows give the same network."""
+def fit(windows: np.ndarray, y: np.ndarray, langs: list[str], weight: np.ndarray | None = None, steps: int = 500, batch: int = 64, rate: float = 0.01, seed: int = 7) -> ByteConvNet:
+    """Trains by Adam on cross entropy; windows are drawn by ``weight``, and the same rows give the same network.
+
+    More languages take more steps: ``steps`` serve 8 languages.
+    """
     rng = np.random.default_rng(seed)
     k = len(WIDTHS) * FILTERS
     net = ByteConvNet(
@@ -100,8 +106,9 @@ def fit(windows: np.ndarray, y: np.ndarray, langs: list[str], steps: int = 500,
         return net
     params = [net.embed, *net.filters, net.bias, net.dense, net.dense_bias]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
-    for step in range(1, steps + 1):
-        pick = rng.integers(0, len(windows), batch)
+    upto = np.cumsum(np.ones(len(windows)) if weight is None else weight)
+    for step in range(1, steps * max(1, -(-len(langs) // 8)) + 1):
+        pick = np.minimum(np.searchsorted(upto, rng.random(batch) * upto[-1]), len(windows) - 1)
         x, rows = windows[pick], np.arange(batch)[:, None]
         raw, place = net.pooled(x, net.tables(), where=True)
         pool = np.maximum(raw, 0)
@@ -128,52 +135,76 @@ def held_out(doc_id: Column) -> Column:
     return crc_fold(doc_id, 5) == 0
 
 
-def train(docs: DataFrame, learn: Column, max_docs: int = 400, max_langs: int = 64, windows: int = 4, **options) -> ByteConvNet:
-    """Fits on a bounded sample of rows (doc_id, text, lang) that pass ``learn``."""
+def sample(docs: DataFrame, learn: Column, max_docs: int) -> DataFrame:
+    """(text, lang): of each language, the ``max_docs`` rows that pass ``learn`` with the least hashes; all if there are fewer."""
     rows = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & learn)
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
-    langs = sorted(r["lang"] for r in counts)
-    share = F.lit(0.0)
-    for r in counts:
-        share = F.when(F.col("lang") == r["lang"], F.lit(min(1.0, max_docs / r["count"]) * 1e6)).otherwise(share)
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
-    step = F.greatest(F.lit(0), (F.length("text") - WINDOW)) / max(1, windows - 1)
-    cut = F.array(*[F.substr("text", (step * i).cast("int") + 1, F.lit(WINDOW)) for i in range(windows)])
-    picked = rows.where(place < share).select("doc_id", "lang", F.array_distinct(cut).alias("cuts"))
-    sample = sorted(picked.limit(2 * max_docs * max(1, len(langs))).collect(), key=lambda r: (r["lang"], str(r["doc_id"]), r["cuts"]))
-    pieces = [(c.encode(), langs.index(r["lang"])) for r in sample for c in r["cuts"] if c]
-    x = np.concatenate([windows_of(c)[:1] for c, _ in pieces]) if pieces else np.zeros((0, WINDOW), np.uint8)
-    return fit(x, np.array([k for _, k in pieces], np.int64), langs, **options)
-
-
-def predict(docs: DataFrame, net: ByteConvNet, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` in place of its text."""
+    rows = rows.select("text", "lang", F.xxhash64("doc_id", "text").alias("_h"))
+    shares = rows.groupBy("lang").agg(F.count("*").alias("_n"))
+    # four times the wanted share is about sure to hold enough rows, and spares the rank most of them
+    near = F.pmod("_h", F.lit(1_000_000)) * F.greatest(F.col("_n"), F.lit(1)) <= F.lit(4e6 * max_docs)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("_h", F.xxhash64(F.lit(1), "text")))
+    few = join_small(rows, shares, "lang").where((F.col("_n") <= 4 * max_docs) | near)
+    return few.select("text", "lang", rank.alias("_k")).where(F.col("_k") <= max_docs).select("text", "lang")
+
+
+def train(docs: DataFrame, learn: Column, max_docs: int = 400, **options) -> ByteConvNet:
+    """Fits on a sample of rows (doc_id, text, lang) that pass ``learn``, bounded by ``max_docs`` for each language."""
+    picked = sorted((r["lang"], r["text"].encode()) for r in sample(docs, learn, max_docs).collect())
+    langs = sorted({lang for lang, _ in picked})
+    pieces = [(windows_of(text), langs.index(lang)) for lang, text in picked if text]
+    x = np.concatenate([w for w, _ in pieces]) if pieces else np.zeros((0, WINDOW), np.uint8)
+    y = np.repeat([k for _, k in pieces], [len(w) for w, _ in pieces]).astype(np.int64) if pieces else np.zeros(0, np.int64)
+    # windows are drawn by document, so that a long text does not outweigh its language
+    weight = np.concatenate([np.full(len(w), 1 / len(w)) for w, _ in pieces]) if pieces else np.zeros(0)
+    return fit(x, y, langs, weight, **options)
+
+
+def lettered(raw: bytes) -> bool:
+    return bool(_ASCII_LETTER.search(raw)) or any(map(str.isalpha, raw.decode("utf-8", "replace")))
+
+
+def answers(net: ByteConvNet, tables: list, texts: list[bytes]) -> list[tuple[str, float]]:
+    """The language and score of each text; the windows of all texts run through the network together."""
+    out: list[tuple[str, float]] = [("und", 0.0)] * len(texts)
+    asked = [k for k, t in enumerate(texts) if lettered(t)] if net.langs else []
+    if not asked:
+        return out
+    rows = [windows_of(texts[k]) for k in asked]
+    first = np.cumsum([0, *(len(r) for r in rows[:-1])])
+    weights = np.full(first[-1] + len(rows[-1]), float(WINDOW))
+    ends = np.append(first[1:], len(weights)) - 1
+    weights[ends] = [len(texts[k]) - WINDOW * (len(r) - 1) for k, r in zip(asked, rows, strict=True)]
+    logits = net.logits(np.concatenate(rows), tables) * weights[:, None]
+    p = _softmax(np.add.reduceat(logits, first, axis=0) / np.add.reduceat(weights, first)[:, None])
+    for k, best, score in zip(asked, p.argmax(axis=1).tolist(), p.max(axis=1).tolist(), strict=True):
+        out[k] = net.langs[best], score
+    return out
+
+
+def predict(docs: DataFrame, net: ByteConvNet, text_col: str = "text", added: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` with the ``added`` columns in place of its text."""
     shipped = docs.sparkSession.sparkContext.broadcast(net)
+    kept = [c for c in docs.columns if c != text_col and c not in added]
+    renamed = docs.select(column(text_col).alias("_text"), *[prefixed(c) for c in kept])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = shipped.value
         tables = net.tables()
         for batch in batches:
-            langs, scores = [], []
-            for text in batch.column(text_col):
-                raw = text.as_buffer().to_pybytes() if text.is_valid else b""
-                lettered = _ASCII_LETTER.search(raw) or any(map(str.isalpha, raw.decode("utf-8", "replace")))
-                if not lettered or not net.langs:
-                    langs.append("und")
-                    scores.append(0.0)
-                    continue
-                rows = windows_of(raw)
-                weights = np.full(len(rows), WINDOW)
-                weights[-1] = len(raw) - WINDOW * (len(rows) - 1)
-                mean = np.average(net.logits(rows, tables), axis=0, weights=weights)[None]
-                p = _softmax(mean)[0]
-                langs.append(net.langs[int(p.argmax())])
-                scores.append(float(p.max()))
-            cols = {n: batch.column(n) for n in batch.schema.names if n != text_col}
-            cols |= {"lang_pred": pa.array(langs, pa.string()), "score": pa.array(scores, pa.float64())}
+            found, texts, held = [], [], 0
+            for text in batch.column("_text"):
+                texts.append(text.as_buffer().to_pybytes() if text.is_valid else b"")
+                held += len(texts[-1])
+                if held >= TOGETHER:
+                    found += answers(net, tables, texts)
+                    texts, held = [], 0
+            found += answers(net, tables, texts)
+            cols = {n: batch.column(n) for n in batch.schema.names if n != "_text"}
+            cols |= {"_lang": pa.array([x for x, _ in found], pa.string()), "_score": pa.array([x for _, x in found], pa.float64())}
             yield pa.RecordBatch.from_pydict(cols)
 
-    return docs.mapInArrow(run, docs.drop(text_col).schema.add("lang_pred", "string").add("score", "double"))
+    out = renamed.mapInArrow(run, renamed.drop("_text").schema.add("_lang", "string").add("_score", "double"))
+    return out.select(*[F.col(working(c)).alias(c) for c in kept], F.col("_lang").alias(added[0]), F.col("_score").alias(added[1]))
 
 
 def digest(docs: DataFrame) -> DataFrame:

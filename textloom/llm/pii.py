@@ -27,7 +27,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import join_small, prefixed, stored
+from textloom.llm.common import column, join_small, prefixed, stored, working
 
 _LOCAL, _HOST = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]"
 #: By kind, as listed: the pattern, and a cheap test without which it cannot match.
@@ -140,7 +140,7 @@ def terms_of(text: Column) -> Column:
 
 def _renamed(docs: DataFrame, text_col: str) -> DataFrame:
     others = [prefixed(c) for c in docs.columns if c != text_col]
-    return docs.select(F.col(f"`{text_col}`").alias("_text"), *others)
+    return docs.select(column(text_col).alias("_text"), *others)
 
 
 def _spanned(renamed: DataFrame) -> DataFrame:
@@ -234,7 +234,7 @@ def find_personal_data(docs: DataFrame, text_col: str = "text", added: str = "pe
 
 
 def _back(docs: DataFrame, text_col: str, text: Column) -> list[Column]:
-    return [(text if c == text_col else F.col(f"`_in_{c}`")).alias(c) for c in docs.columns]
+    return [(text if c == text_col else F.col(working(c))).alias(c) for c in docs.columns]
 
 
 def sanitise(docs: DataFrame, text_col: str = "text", **limits) -> DataFrame:
@@ -258,7 +258,7 @@ def digest(docs: DataFrame) -> DataFrame:
     found = _found(docs.select("doc_id", "text"), "text")
     base = _columns(tuple(PATTERNS))
     return found.select(
-        F.col("_in_doc_id").alias("doc_id"),
+        F.col("_in_doc__id").alias("doc_id"),
         *[F.size(x).cast("long").alias(f"n_{k}") for k, x in base.items()],
         F.sha2(_listed(base).cast("binary"), 256).alias("base_sha256"),
         _listed(_columns((*PATTERNS, TERM))).alias("spans"),

@@ -4,13 +4,14 @@ Each class gets a mean and a covariance of the statistics, shrunk towards the id
 is the calibrated difference of the two Gaussian log densities, whose Mahalanobis terms use Cholesky factors computed
 once and shipped with the model.
 
-The model is fitted on at most ``max_rows`` labelled rows, picked by a hash of their id; scores read whole texts.
-The statistics of a text never see its id, source, language or label.
+The model is fitted on about ``max_rows`` labelled documents at most, picked by a hash of their id; only their texts are
+read for it. Scores read whole texts, once, without a shuffle. The statistics of a text never see its id, source, language
+or label.
 
 Defined cases: null and empty texts have all statistics zero and get a score like any other; labels that are null
 or meet no document are not used, several labels of one document are averaged; with labels of one class only, or none,
-every score is that class's share (one half without labels); repeated rows score alike; other columns pass through
-:func:`with_scores`, except ones named as its added columns.
+every score is that class's share (one half without labels); repeated rows score alike; an empty table gives no rows;
+other columns pass through under any name, except ones named as the added columns, which are replaced.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.llm.common import crc_fold, stored
+from textloom.llm.common import column, crc_fold, join_small, prefixed, working
 
 _UPPER, _LOWER, _DIGIT = bytes(range(65, 91)), bytes(range(97, 123)), bytes(range(48, 58))
 _SYMBOLS, _STOPS = b"#*$%&|<>", b".!?"
@@ -128,44 +129,41 @@ def _statistics_of(column: pa.Array) -> np.ndarray:
     return np.array(rows, np.float64).reshape(len(rows), len(STATISTICS))
 
 
-def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``_stats`` in place of its text."""
+def train(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "quality", max_rows: int = 20_000, shrinkage: float = 0.1, text_col: str = "text") -> Discriminant:
+    """Fits on documents (doc_id, text) that have a label and pass ``learn``; about ``max_rows`` at most, by hash of id."""
+    labels = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & learn)
+    share = F.lit(min(1.0, max_rows / max(1, labels.count())) * 1e6)
+    labels = labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share)
+    labels = labels.groupBy("doc_id").agg((F.avg(label) >= 0.5).cast("int").alias("_label"))
+    texts = docs.select("doc_id", column(text_col).alias("_text"))
+    rows = join_small(texts, labels, "doc_id", limit=2 * max_rows).select("doc_id", "_text", "_label")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            stats = pa.array(list(_statistics_of(batch.column(text_col))), pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_pydict({n: batch.column(n) for n in batch.schema.names if n != text_col} | {"_stats": stats})
-
-    return docs.mapInArrow(run, docs.drop(text_col).schema.add("_stats", T.ArrayType(T.DoubleType())))
+            stats = pa.array(list(_statistics_of(batch.column("_text"))), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "_stats": stats, "_label": batch.column("_label")})
 
-
-def train(stats: DataFrame, labels: DataFrame, learn: Column, label: str = "quality", max_rows: int = 20_000, shrinkage: float = 0.1) -> Discriminant:
-    """Fits on rows (doc_id, _stats) that have a label and pass ``learn``; at most about ``max_rows``, by hash of id."""
-    labels = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & learn)
-    total = labels.count()
-    share = F.lit(min(1.0, max_rows / max(1, total)) * 1e6)
-    labels = labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share)
-    labels = labels.groupBy("doc_id").agg((F.avg(label) >= 0.5).cast("int").alias("_label"))
-    rows = stats.select("doc_id", "_stats").join(labels, "doc_id").orderBy("doc_id").limit(2 * max_rows).collect()
-    x = np.array([r["_stats"] for r in rows], np.float64).reshape(len(rows), len(STATISTICS))
-    return fit(x, np.array([r["_label"] for r in rows], np.int64), shrinkage)
+    measured = rows.mapInArrow(run, rows.select("doc_id").schema.add("_stats", T.ArrayType(T.DoubleType())).add("_label", "integer"))
+    found = measured.orderBy("doc_id", "_stats").limit(2 * max_rows).collect()
+    x = np.array([r["_stats"] for r in found], np.float64).reshape(len(found), len(STATISTICS))
+    return fit(x, np.array([r["_label"] for r in found], np.int64), shrinkage)
 
 
-def with_scores(docs: DataFrame, model: Discriminant, column: str, threshold: float = 0.7) -> DataFrame:
-    """Adds ``score`` and ``predicted`` from the text, or from ``_stats`` (then dropped)."""
+def with_scores(docs: DataFrame, model: Discriminant, threshold: float = 0.7, text_col: str = "text", added: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+    """``docs`` with the ``added`` columns: the score, and 1 where it reaches the threshold."""
     shipped = docs.sparkSession.sparkContext.broadcast(model)
+    kept = [c for c in docs.columns if c not in added]
+    renamed = docs.select(*[prefixed(c) for c in kept])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            c = batch.column(column)
-            x = np.array(c.to_pylist(), np.float64).reshape(len(c), len(STATISTICS)) if column == "_stats" else _statistics_of(c)
-            scores = shipped.value.scores(x)
-            cols = {n: batch.column(n) for n in batch.schema.names if n != "_stats"}
-            cols |= {"score": pa.array(scores, pa.float64()), "predicted": pa.array((scores >= threshold).astype(np.int32))}
+            scores = shipped.value.scores(_statistics_of(batch.column(working(text_col))))
+            cols = dict(zip(batch.schema.names, batch.columns, strict=True))
+            cols |= {"_score": pa.array(scores, pa.float64()), "_predicted": pa.array((scores >= threshold).astype(np.int32))}
             yield pa.RecordBatch.from_pydict(cols)
 
-    docs = docs.drop("score", "predicted")
-    return docs.mapInArrow(run, docs.drop("_stats").schema.add("score", "double").add("predicted", "integer"))
+    out = renamed.mapInArrow(run, T.StructType(list(renamed.schema)).add("_score", "double").add("_predicted", "integer"))
+    return out.select(*[F.col(working(c)).alias(c) for c in kept], F.col("_score").alias(added[0]), F.col("_predicted").alias(added[1]))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -174,15 +172,14 @@ def held_out(doc_id: Column) -> Column:
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The registered query's columns, one row per document."""
-    stats = stored(with_statistics(docs.select("doc_id", "text")))
-    model = train(stats, labels, ~held_out(F.col("doc_id")))
-    out = with_scores(stats, model, "_stats")
+    docs = docs.select("doc_id", "text")
+    out = with_scores(docs, train(docs, labels, ~held_out(F.col("doc_id"))))
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
     """``docs`` without the documents that the classifier, fitted on the labels' learning rows, rejects."""
-    stats = stored(with_statistics(docs.select("doc_id", "text")))
-    model = train(stats, labels, ~held_out(F.col("doc_id")))
-    scored = with_scores(docs.select(*[F.col(c).alias(f"_in_{c}") for c in docs.columns]), model, "_in_text", threshold)
-    return scored.where("predicted = 1").select(*[F.col(f"_in_{c}").alias(c) for c in docs.columns])
+    model = train(docs, labels, ~held_out(F.col("doc_id")))
+    renamed = docs.select(*[prefixed(c, "_own_") for c in docs.columns])
+    scored = with_scores(renamed, model, threshold, working("text", "_own_"), ("_score", "_good"))
+    return scored.where("_good = 1").select(*[F.col(working(c, "_own_")).alias(c) for c in docs.columns])

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import connected_components, stored
+from textloom.llm.common import column, connected_components, join_small, prefixed, stored, working
 
 BITS = 64
 
@@ -54,19 +54,21 @@ def fingerprint(text: bytes | None, size: int = 3, seed: int = 42) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-def with_fingerprints(docs: DataFrame, size: int = 3, seed: int = 42, text_col: str = "text", keep_text: bool = False) -> DataFrame:
-    """``docs`` with ``_fp`` (the fingerprint as a signed long) in place of its text, or beside it."""
+def with_fingerprints(docs: DataFrame, size: int = 3, seed: int = 42, text_col: str = "text", added: str = "_fp") -> DataFrame:
+    """``docs`` with ``added`` (the fingerprint as a signed long) in place of its text."""
+    kept = [c for c in docs.columns if c not in (text_col, added)]
+    renamed = docs.select(column(text_col).alias("_text"), *[prefixed(c) for c in kept])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(text_col)
+            texts = batch.column("_text")
             found = (fingerprint(t.as_buffer().to_pybytes() if t.is_valid else None, size, seed) for t in texts)
             fps = np.fromiter(found, np.uint64, len(texts)).view(np.int64)
-            cols = {n: batch.column(n) for n in batch.schema.names if keep_text or n != text_col}
+            cols = {n: batch.column(n) for n in batch.schema.names if n != "_text"}
             yield pa.RecordBatch.from_pydict(cols | {"_fp": pa.array(fps, pa.int64())})
 
-    schema = (docs if keep_text else docs.drop(text_col)).schema.add("_fp", "long")
-    return docs.mapInArrow(run, schema)
+    out = renamed.mapInArrow(run, renamed.drop("_text").schema.add("_fp", "long"))
+    return out.select(*[F.col(working(c)).alias(c) for c in kept], F.col("_fp").alias(added))
 
 
 def covering_masks(radius: int = 2) -> list[int]:
@@ -113,27 +115,37 @@ def near_components(marked: DataFrame, id_col: str = "doc_id") -> DataFrame:
     rooted = reps.join(roots, reps["_fp"] == roots["node"], "left").select("_fp", "_least", F.coalesce("root", "_fp").alias("_root"))
     rooted = stored(rooted)
     least = stored(rooted.groupBy("_root").agg(F.min("_least").alias("_component")))
-    return stored(rooted.join(least, "_root").select("_fp", "_component"))
+    # one root may have a third of all fingerprints
+    return stored(join_small(rooted, least, "_root").select("_fp", "_component"))
 
 
 def simhash_components(docs: DataFrame, size: int = 3, seed: int = 42) -> DataFrame:
-    """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id."""
+    """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id.
+
+    A fingerprint may stand on a third of all rows, so rows find their class by a broadcast or salted join.
+    """
     marked = stored(with_fingerprints(docs.select("doc_id", "text"), size, seed))
     classes = near_components(marked)
-    return marked.join(classes, "_fp").select(
+    return join_small(marked, classes, "_fp").select(
         "doc_id", F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"), F.col("_component").alias("component_id")
     )
 
 
 def drop_near_duplicates(docs: DataFrame, size: int = 3, seed: int = 42) -> DataFrame:
-    """One document of each component: the one with its least doc_id; of rows repeating that id, one.
+    """One row of each component: of those with its least doc_id, the one with the least fingerprint and text hash.
 
-    Texts without words are no copies of each other's content: they are kept as they are.
+    The survivor is chosen by ids, fingerprints and hashes alone; texts are not shuffled. Rows that are equal in all of these
+    are copies, and one of them stays. Texts without words are no copies of each other's content: they are kept as they
+    are, and so are rows without an id.
     """
-    marked = stored(with_fingerprints(docs.select("doc_id", "text"), size, seed))
+    key = F.struct("doc_id", "_fp", "_h")
+    marked = docs.select("doc_id", "text", F.xxhash64("text", "doc_id").alias("_h"))
+    marked = stored(with_fingerprints(marked.where(F.col("doc_id").isNotNull() & F.col("text").rlike(r"[^\x20\x09-\x0D]")), size, seed))
     classes = near_components(marked)
-    kept = classes.select(F.col("_component").alias("doc_id")).where("doc_id is not null")
-    kept = stored(kept.distinct())
-    worded = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    once = docs.where(worded).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(docs.where(~worded | F.col("doc_id").isNull()))
+    joined = join_small(marked, classes, "_fp")
+    least = joined.groupBy("_component").agg(F.min(key).alias("_least"))
+    kept = stored(least.select(F.col("_least.doc_id").alias("_kept_id"), F.col("_least._h").alias("_kept_h")))
+    own = docs.select(*[prefixed(c) for c in docs.columns], F.xxhash64("text", "doc_id").alias("_h"))
+    worded = F.coalesce(F.col("_in_text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]") & F.col("_in_doc__id").isNotNull()
+    once = own.where(worded).join(kept, (F.col("_in_doc__id") == F.col("_kept_id")) & (F.col("_h") == F.col("_kept_h")), "left_semi").dropDuplicates(["_in_doc__id", "_h"])
+    return once.unionByName(own.where(~worded)).select(*[F.col(working(c)).alias(c) for c in docs.columns])

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import join_small, prefixed, stored
+from textloom.llm.common import join_small, prefixed, stored, working
 
 #: Text bytes whose suffixes are held at a time.
 CHUNK = 4 << 20
@@ -559,7 +559,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, short: int = 6, id_col: st
     schema = joined.drop("_parts", "_h").schema.add("_n_words", "long").add("_n_removed", "long").add("_kept", "string")
     out = joined.mapInArrow(cut, schema)
     back = {id_col: F.col("_id"), text_col: F.col("_text")}
-    kept_columns: list[Column] = [(back[c] if c in back else F.col(f"_in_{c}")).alias(c) for c in docs.columns if c not in added]
+    kept_columns: list[Column] = [(back[c] if c in back else F.col(working(c))).alias(c) for c in docs.columns if c not in added]
     return out.select(*kept_columns, *[F.col(c).alias(n) for c, n in zip(("_n_words", "_n_removed", "_kept"), added, strict=True)])
 
 
