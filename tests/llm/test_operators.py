@@ -103,13 +103,36 @@ def test_divergence_keeps_prose_and_drops_noise(spark, sf):
     judged = quality_rules.judge(rows.select("doc_id", "lang", "text")).join(common.read(spark, sf, "labels"), "doc_id").where("not base_failed")
     r = judged.groupBy("quality").agg(F.avg(F.col("kept").cast("double")).alias("k")).collect()
     share = {x["quality"]: x["k"] for x in r}
-    assert share[1] == 1.0 and share.get(0, 0.0) < 0.5
+    assert share[1] == 1.0 and share.get(0, 0.0) < 0.3
     same = F.array(F.lit(1), F.lit(3))
     assert spark.range(1).select(quality_rules.distance(same, F.lit(4), same, F.lit(4))).first()[0] == 0.0
     apart = [F.array(F.lit(1), F.lit(0)), F.array(F.lit(0), F.lit(1))]
     assert spark.range(1).select(quality_rules.distance(apart[0], F.lit(1), apart[1], F.lit(1))).first()[0] == pytest.approx(1.0)
 
 
+def prose(rng, lists, n):
+    """Words of which a third are common ones of the languages ``lists``, in sentences."""
+    words = [rng.choice(quality_rules.COMMON[12 * rng.choice(lists) :][:12]) if rng.random() < 0.33 else "".join(rng.choices("etaoinshrdlu", k=rng.randint(4, 9))) for _ in range(n)]
+    return " ".join(w.capitalize() + "." if k % 12 == 11 else w for k, w in enumerate(words))
+
+
+def test_junk_is_found_where_a_language_is_mostly_junk_or_has_no_other_text(spark):
+    rng = random.Random(9)
+    junk = lambda: " | ".join("".join(rng.choices("etaoinshrdlu", k=3)).upper() + "%$#" for _ in range(300))
+    good = [(prose(rng, [0], 300), "en") for _ in range(60)] + [(prose(rng, [2], 300), "de") for _ in range(40)]
+    rare = [(prose(rng, [1], 300), "fr") for _ in range(5)]
+    mixed = [(prose(rng, [0, 2], 400), "en") for _ in range(5)]
+    bad = [(junk(), "fr") for _ in range(95)] + [(junk(), "es")]
+    rows = [(k, t, lang, "x", "y") for k, (t, lang) in enumerate(good + rare + mixed + bad)]
+    given = spark.createDataFrame(rows, "doc_id long, text string, lang string, _prose string, kept string")
+    out = quality_rules.judge(given)
+    assert out.columns[:3] == ["doc_id", "lang", "_prose"] and out.columns.count("kept") == 1
+    kept = {r["doc_id"]: (r["kept"], r["_prose"]) for r in out.collect()}
+    assert [kept[k] for k in range(110)] == [(True, "x")] * 110 and [kept[k] for k in range(110, len(rows))] == [(False, "x")] * 96
+    alone = quality_rules.judge(given.where("lang = 'es'")).first()
+    assert not alone["kept"] and alone["common_distance"] is None
+
+
 def test_mix_meets_its_targets(spark):
     values = ["w " * (5 + k % 40) for k in range(300)] + [None, ""]
     rows = h.frame(spark, values, source=lambda k: None if k % 10 == 0 else "tiny" if k % 50 == 1 else "big" if k % 3 else "mid")
