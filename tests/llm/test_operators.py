@@ -33,7 +33,7 @@ def test_overlaps_equal_brute_force(spark, docs, block_bytes):
     items = [(1, " ".join(passage[:20])), (2, " ".join(passage[5:14]).upper()), (3, "the of"), (4, None), (5, ""), (1, "re"), (7, " ".join(passage[10:18])), (8, "(" + " ".join(passage[:12]))]
     given = spark.createDataFrame(items, "item_id long, text string")
     found = decontamination.find_overlaps(docs.select("doc_id", "text"), given, block_bytes=block_bytes)
-    got = found.select("doc_id", "_n_words", F.size("_items"), F.aggregate("_hits", F.lit(0).cast("long"), lambda a, x: a + x["e"] - x["s"]), F.concat_ws(",", F.sort_array("_items")))
+    got = found.select("doc_id", "n_words", F.size("items"), F.aggregate("hits", F.lit(0).cast("long"), lambda a, x: a + x["e"] - x["s"]), F.concat_ws(",", F.sort_array("items")))
     expected = h.hits_spec(enumerate(h.texts()), items)
     assert {r[0]: (r[1], r[3], r[2], h.sha(r[4]), r[2] >= 2) for r in got.collect()} == expected
     assert any(e[1] for e in expected.values())
@@ -313,22 +313,52 @@ def test_scratch_is_shared_and_deleted(spark):
         common.shared_dir(SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *_: None)))
 
 
-NAMES = [q for q in queries.QUERIES if q != "op5_url_filters"]
+NAMES = [*queries.QUERIES]
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_empty_tables(spark, tmp_path, name):
-    for table, schema in {"documents": h.DOCUMENT, "benchmark": "item_id long, text string", "labels": "doc_id long, quality int, toxic int"}.items():
+    tables = {"documents": h.DOCUMENT, "benchmark": "item_id long, text string", "labels": "doc_id long, quality int, toxic int", "pages": "page_id long, url string, html string"}
+    for table, schema in tables.items():
         spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{table}.parquet")
     assert queries.QUERIES[name](spark, str(tmp_path)).count() == 0
 
 
 @pytest.mark.parametrize("name", NAMES)
-def test_nulls_repeats_and_clashing_names(spark, tmp_path, name):
-    values = [None, "", "x", "the of and to " * 40, "é" * 5000] + h.texts(20)
-    given = [(None if k % 7 == 3 else k // 2, t, None if k % 3 else "en", None if k % 4 else "s", None, k, "x") for k, t in enumerate(values * 2)]
-    schema = h.DOCUMENT + ", size int, score string"
+def test_nulls_repeats_long_texts_and_clashing_names(spark, tmp_path, name):
+    values = [None, "", "x", "the of and to " * 40, "é" * 5000, "word " * 40_000, "y" * 200_000] + h.texts(20)
+    given = [(None if k % 7 == 3 else k // 2, t, None if k % 3 else "en", None if k % 4 else "s", None, k, "x", "h") for k, t in enumerate(values * 2)]
+    schema = h.DOCUMENT + ", size int, score string, _text string"
     spark.createDataFrame(given, schema).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(None, None), (1, None), (None, "x"), (2, "the of and to the of and to the")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     spark.createDataFrame([(None, 1, 0), (1, None, 0), (2, 1, 0), (2, 0, 1), (3, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    pages = [(None if k % 5 == 0 else k // 2, "http://casino-win.example.com/" if k % 2 else None, None, "x") for k in range(len(given))]
+    spark.createDataFrame(pages, "page_id long, url string, html string, matched string").write.parquet(f"{tmp_path}/pages.parquet")
     assert queries.QUERIES[name](spark, str(tmp_path)).count() == len(given)
+
+
+CLASHES = ("_text", "_hits", "_items", "_n_words", "_size", "_hash", "_source", "_k", "_plan_target", "_day", "_key", "_host", "_h", "_fp", "_score", "_codes", "_in_text", "a.b")
+
+
+def test_callers_columns_of_any_name_pass_through(spark):
+    rows = h.frame(spark, ["good text here of some words " * 4, None, "all rights reserved"]).withColumns({c: F.lit(c) for c in CLASHES})
+    items = spark.createDataFrame([(1, "good text here")], "item_id long, text string")
+    net = language_id.train(rows, F.lit(True), steps=5)
+    model = quality_classifier.train(rows, spark.createDataFrame([(0, 1)], "doc_id long, quality int"), F.lit(True))
+    captures = rows.withColumns({"url": F.lit("http://casino-win.example.com/x"), "fetch_time": F.when(F.col("doc_id") == 1, "no time").otherwise("2024-05-01"), "matched": F.lit("old")})
+    made = {
+        "overlaps": decontamination.find_overlaps(rows, items), "cut": decontamination.remove_overlaps(rows, items), "blocks": decontamination.find_overlaps(rows, items.union(items), block_bytes=5),
+        "mix": mixing.mix(rows), "urls": url_filters.evaluate(captures, url_filters.fixed_list(spark)), "licences": licences.scan(rows), "fps": simhash.with_fingerprints(rows, added="fp"),
+        "one": simhash.drop_near_duplicates(rows), "lang": language_id.predict(rows, net), "scores": quality_classifier.with_scores(rows, model), "rules": quality_rules.judge(rows),
+    }
+    for name, df in made.items():
+        out = df.collect()
+        assert out and all(r[c] == c for r in out for c in CLASHES), name
+    assert {r["doc_id"]: r["matched"] for r in made["urls"].collect()} == {0: "casino-win.example.com:gambling", 1: "", 2: "casino-win.example.com:gambling"}
+
+
+def test_rows_that_share_an_id_but_no_text_all_stay(spark):
+    rows = spark.createDataFrame([(1, "some words of one"), (1, "quite another text here"), (2, "third thing altogether now"), (3, "some words of one"), (None, "x y"), (4, None)], "doc_id long, text string")
+    out = sorted((r["doc_id"] or 0, r["text"] or "") for r in simhash.drop_near_duplicates(rows).collect())
+    assert (2, "third thing altogether now") in out and (0, "x y") in out and (4, "") in out and (3, "some words of one") not in out
+    assert (1, "some words of one") in out or (1, "quite another text here") in out

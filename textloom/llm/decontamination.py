@@ -2,21 +2,30 @@
 
 The items' normalised words are compiled into one automaton per block of items. Training texts are streamed
 through it; the automaton's state gives, at each word, the longest run ending there that occurs in any item.
-A run of at least ``window`` words is a hit. No shuffle: the items are the stated query set, held in blocks of
-bounded size, and documents never meet each other.
+A run of at least ``window`` words is a hit. The items are the stated query set and documents never meet each other.
+
+Memory: items of at most ``block_bytes`` make one automaton, built once in each Python worker, and texts are not shuffled.
+More items go in blocks, one after the other: each block is broadcast, finds the texts that it hits, and is released, so
+neither the driver nor an executor holds more than one block whatever the items' size. Hits of the blocks are then
+joined to the rows by the hash of their text.
 
 Defined cases: null or empty texts have no words and no hits; an item without words never matches; an item
-shorter than the window matches as a whole; repeated items or item ids count once; extra columns of ``docs``
-pass through untouched where the result keeps rows, and never clash since working columns start with ``_``.
+shorter than the window matches as a whole; repeated items or item ids count once; repeated rows get the same answer; empty
+tables give no rows or no hits; texts of any length are read whole; extra columns of ``docs`` pass through under any name,
+but for those that :func:`find_overlaps` is told to add.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from textloom.llm.common import column, join_small, prefixed, stored, working
 
 #: Bytes outside words become spaces, A-Z become a-z; bytes from 0x80 belong to words.
 _FOLD = bytes(
@@ -174,56 +183,106 @@ def _merged(a: list[list[int]], b: list[list[int]]) -> list[list[int]]:
     return out
 
 
-def find_overlaps(docs: DataFrame, items: DataFrame, window: int = 8, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", block_bytes: int = 4_000_000, keep_text: bool = False) -> DataFrame:
-    """Adds to each row ``_n_words`` (long), ``_hits`` (word spans, end exclusive) and ``_items`` (item ids).
+_built: tuple[str, SuffixAutomaton] | None = None
+
+
+def automaton_of(key: str, block, window: int) -> SuffixAutomaton:
+    """The automaton of a broadcast block, kept for the next tasks of this worker until another block comes."""
+    global _built
+    if _built is None or _built[0] != key:
+        _built = None
+        _built = key, SuffixAutomaton([(i, normalised(t)) for i, t in block.value], window)
+    return _built[1]
+
+
+_ANSWER = "_n_words bigint, _hits array<struct<s:bigint,e:bigint>>, _items array<string>"
+_HIT_TYPE = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
+
 
-    ``block_bytes`` bounds what is broadcast and compiled at a time; further blocks are further passes in the
-    same task, chained without a shuffle. ``keep_text`` keeps the text column in the result.
+def find_overlaps(docs: DataFrame, items: DataFrame, window: int = 8, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", block_bytes: int = 4_000_000, keep_text: bool = False, added: tuple[str, str, str] = ("n_words", "hits", "items")) -> DataFrame:
+    """Adds to each row its number of words, word spans hit (end exclusive) and ids of matching items, named as ``added``.
+
+    ``block_bytes`` bounds the item text compiled at a time. ``keep_text`` keeps the text column in the result.
     """
+    kept = [c for c in docs.columns if c not in added and (keep_text or c != text_col)]
+    found = _found(docs, items, kept, window, text_col, item_id, item_text, block_bytes)
+    return found.select(*[F.col("_text" if c == text_col else working(c)).alias(c) for c in kept], *[F.col(c).alias(n) for c, n in zip(("_n_words", "_hits", "_items"), added, strict=True)])
+
+
+def _found(docs: DataFrame, items: DataFrame, kept: list[str], window: int, text_col: str, item_id: str, item_text: str, block_bytes: int) -> DataFrame:
+    """The ``kept`` columns renamed, ``_text``, ``_n_words``, ``_hits`` and ``_items``."""
     spark = docs.sparkSession
-    others = [c for c in docs.columns if c != text_col]
-    spans = "array<struct<s:bigint,e:bigint>>"
-    out = docs.select(
-        *others, F.col(text_col).alias("_text"), F.lit(0).cast("bigint").alias("_n_words"),
-        F.lit(None).cast(spans).alias("_hits"), F.lit(None).cast("array<string>").alias("_items"),
-    )
-    blocks = list(_broadcasts(spark, items, item_id, item_text, block_bytes)) or [spark.sparkContext.broadcast([])]
-    for k, block in enumerate(blocks):
-        text_on = keep_text or k + 1 < len(blocks)
-        schema = out.schema if text_on else out.drop("_text").schema
-        out = out.mapInArrow(_matcher(block, window, text_on), schema)
-    return out.withColumnRenamed("_text", text_col)
-
-
-def _broadcasts(spark, items, item_id, item_text, block_bytes):
-    for block in _blocks(items, item_id, item_text, block_bytes):
-        yield spark.sparkContext.broadcast(block)
-
-
-def _matcher(block, window: int, keep_text: bool):
+    rows = docs.select(column(text_col).alias("_text"), *[prefixed(c) for c in kept if c != text_col])
+    blocks = _blocks(items, item_id, item_text, block_bytes)
+    first, second = next(blocks, []), next(blocks, None)
+    if second is None:
+        return rows.mapInArrow(_matcher(_of_block(spark.sparkContext.broadcast(first), window)), _with_answer(rows))
+    key = F.struct(F.xxhash64("_text").alias("a"), F.xxhash64(F.lit(1), "_text").alias("b"))
+    texts = rows.select(key.alias("_key"), "_text")
+    parts = []
+    for given in _chained(first, second, blocks):
+        block = spark.sparkContext.broadcast(given)
+        hit = texts.mapInArrow(_matcher(_of_block(block, window)), _with_answer(texts))
+        parts.append(stored(hit.where(F.size("_items") > 0).select("_key", "_hits", "_items").dropDuplicates(["_key"])))
+        block.destroy()
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    merged = every.groupBy("_key").agg(F.flatten(F.collect_list("_hits")).alias("_all"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("_items")))).alias("_names"))
+    joined = join_small(rows.withColumn("_key", key), stored(merged), "_key", "left").drop("_key")
+    return joined.mapInArrow(_merger, _with_answer(joined.drop("_all", "_names")))
+
+
+def _chained(first: list, second: list, others: Iterator[list]) -> Iterator[list]:
+    yield first
+    yield second
+    yield from others
+
+
+def _of_block(block, window: int) -> Callable:
+    key = uuid.uuid4().hex
+
+    def match(words: list[bytes]):
+        from textloom.llm import decontamination  # the worker's own module, whose cache outlives the task
+
+        return decontamination.automaton_of(key, block, window).match(words)
+
+    return match
+
+
+def _with_answer(rows: DataFrame):
+    return StructType([*rows.schema, *StructType.fromDDL(_ANSWER)])
+
+
+def _answered(batch: pa.RecordBatch, leave: tuple[str, ...], counts: list, hits: list, names: list) -> pa.RecordBatch:
+    cols = {n: batch.column(n) for n in batch.schema.names if n not in leave}
+    cols["_n_words"] = pa.array(counts, pa.int64())
+    cols["_hits"] = pa.array([[{"s": s, "e": e} for s, e in x] for x in hits], _HIT_TYPE)
+    return pa.RecordBatch.from_pydict(cols | {"_items": pa.array(names, pa.list_(pa.string()))})
+
+
+def _matcher(match: Callable):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = SuffixAutomaton([(i, normalised(t)) for i, t in block.value], window)
         for batch in batches:
             counts, hits, names = [], [], []
-            old_hits, old_names = batch.column("_hits"), batch.column("_items")
-            for k, text in enumerate(batch.column("_text")):
+            for text in batch.column("_text"):
                 words = normalised(text.as_buffer().to_pybytes()) if text.is_valid else []
-                spans, found = automaton.match(words)
-                if old_hits[k].is_valid:
-                    spans = _merged(spans, [[x["s"], x["e"]] for x in old_hits[k].as_py()])
-                    found |= set(old_names[k].as_py())
+                spans, found = match(words)
                 counts.append(len(words))
-                hits.append([{"s": s, "e": e} for s, e in spans])
+                hits.append(spans)
                 names.append(sorted(found))
-            cols = {n: batch.column(n) for n in batch.schema.names if keep_text or n != "_text"}
-            cols["_n_words"] = pa.array(counts, pa.int64())
-            cols["_hits"] = pa.array(hits, pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())])))
-            cols["_items"] = pa.array(names, pa.list_(pa.string()))
-            yield pa.RecordBatch.from_pydict(cols)
+            yield _answered(batch, (), counts, hits, names)
 
     return run
 
 
+def _merger(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        counts = [len(normalised(t.as_buffer().to_pybytes())) if t.is_valid else 0 for t in batch.column("_text")]
+        hits = [_merged([], [[x["s"], x["e"]] for x in h or ()]) for h in batch.column("_all").to_pylist()]
+        yield _answered(batch, ("_all", "_names"), counts, hits, [n or [] for n in batch.column("_names").to_pylist()])
+
+
 def _cutter(min_span: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -244,7 +303,7 @@ def _cutter(min_span: int):
                     kept.append(raw[at : bounds[x["s"]][0]])
                     at = bounds[x["e"] - 1][1]
                 texts.append((b"".join([*kept, raw[at:]])).decode())
-            cols = {n: batch.column(n) for n in batch.schema.names if n not in ("_text", "_hits")}
+            cols = {n: batch.column(n) for n in batch.schema.names}
             yield pa.RecordBatch.from_pydict(cols | {"_text": pa.array(texts, pa.string())})
 
     return run
@@ -257,13 +316,12 @@ def remove_overlaps(docs: DataFrame, items: DataFrame, window: int = 8, max_cove
     items shorter than the window are reported by :func:`find_overlaps` but not cut: they are ordinary phrases.
     Columns and their order stay; rows without a match are unchanged.
     """
-    found = find_overlaps(docs, items, window, text_col, keep_text=True, **options)
+    found = _found(docs, items, docs.columns, window, text_col, **({"item_id": "item_id", "item_text": "text", "block_bytes": 4_000_000} | options))
     long_hits = F.filter("_hits", lambda x: x["e"] - x["s"] >= window)
     covered = F.aggregate(long_hits, F.lit(0).cast("bigint"), lambda a, x: a + x["e"] - x["s"])
     found = found.where(covered <= F.col("_n_words") * F.lit(float(max_coverage))).drop("_items", "_n_words")
-    found = found.withColumnRenamed(text_col, "_text")
-    schema = found.drop("_hits", "_text").schema.add("_text", "string")
-    return found.mapInArrow(_cutter(window), schema).withColumnRenamed("_text", text_col).select(*docs.columns)
+    cut = found.mapInArrow(_cutter(window), found.schema)
+    return cut.select(*[F.col("_text" if c == text_col else working(c)).alias(c) for c in docs.columns])
 
 
 def digest(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -271,11 +329,11 @@ def digest(docs: DataFrame, items: DataFrame) -> DataFrame:
     found = find_overlaps(docs.select("doc_id", "text"), items.select("item_id", "text"))
     return found.select(
         "doc_id",
-        F.col("_n_words").alias("n_words"),
-        F.aggregate("_hits", F.lit(0).cast("bigint"), lambda a, x: a + x["e"] - x["s"]).alias("n_hit"),
-        F.size("_items").cast("bigint").alias("n_items"),
-        F.sha2(F.concat_ws(",", F.sort_array("_items")).cast("binary"), 256).alias("items_sha256"),
-        (F.size("_items") >= 2).alias("contaminated"),
+        "n_words",
+        F.aggregate("hits", F.lit(0).cast("bigint"), lambda a, x: a + x["e"] - x["s"]).alias("n_hit"),
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", F.sort_array("items")).cast("binary"), 256).alias("items_sha256"),
+        (F.size("items") >= 2).alias("contaminated"),
     )
 
 

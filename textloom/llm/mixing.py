@@ -1,8 +1,8 @@
 """Mixing sources to target weights by hash-threshold histograms.
 
-Every row gets a 48-bit hash of its id. Sizes are summed by source and leading 8 hash bits; the budget's threshold
-lies in one bucket of each source, and only that bucket is summed again by its next 8 bits, until all 48 are used. Rows
-below the threshold are taken, rows above are not: thresholds nest, so a larger budget keeps what a smaller takes.
+Every row gets a 48-bit hash of its id. Sizes are summed by source and leading 16 hash bits; the budget's threshold
+lies in one bucket of each source, whose rows are set aside and alone summed again by the next 8 bits, until all 48 are
+used. Rows below the threshold are taken, rows above are not: thresholds nest, so a larger budget keeps what a smaller takes.
 Nothing is sorted by size or hash and no row meets another.
 
 A target above a source's size takes whole passes of it (at most ``max_repeats``) and a threshold's part of one more.
@@ -14,7 +14,7 @@ broadcast under a row count, salted beyond it.
 
 Defined cases: null texts have size 0; a null source is a source, last in order; sources whose rows have no words
 get target 0; null or repeated ids hash alike and share a threshold in proportion; an empty table gives no rows;
-other columns pass through, except ones named as the added columns, which are replaced.
+other columns pass through under any name, except ones named as the added columns, which are replaced.
 """
 
 from __future__ import annotations
@@ -24,9 +24,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.llm.common import WORD, join_small, stored
+from textloom.llm.common import WORD, column, join_small, prefixed, stored, working
 
-LEVELS, LEVEL_BITS = 6, 8
+#: Hash bits by which the boundary bucket is refined; 48 in all.
+LEVEL_BITS = (16, 8, 8, 8, 8)
 
 
 def word_count(text: Column) -> Column:
@@ -65,16 +66,17 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = (5, 2, 1), max_rep
 
 def _bucket(level: int) -> Column:
     """The hash bits up to ``level``'s end."""
-    return F.shiftright("hash", LEVEL_BITS * (LEVELS - level))
+    return F.shiftright("hash", sum(LEVEL_BITS[level:]))
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), max_repeats: int = 3, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """``docs`` with size, source_size, target and taken: ``taken // size`` whole copies and ``taken % size`` words more."""
-    slim = stored(docs.select(F.col(source_col).alias("source"), id_hash(F.col(id_col)).alias("hash"), word_count(F.col(text_col)).alias("size")))
+    slim = stored(docs.select(column(source_col).alias("source"), id_hash(column(id_col)).alias("hash"), word_count(column(text_col)).alias("size")))
     plan = thresholds(slim, weights, max_repeats)
     added = ["size", "source_size", "target", "taken"]
-    rows = docs.drop(*added).withColumns({"_size": word_count(F.col(text_col)), "_hash": id_hash(F.col(id_col)), "_source": F.col(source_col)})
-    return _taken(rows, plan).drop("_size", "_hash", "_source").select(*[c for c in docs.columns if c not in added], *added)
+    kept = [c for c in docs.columns if c not in added]
+    rows = docs.select(*[prefixed(c) for c in kept], word_count(column(text_col)).alias("_size"), id_hash(column(id_col)).alias("_hash"), column(source_col).alias("_source"))
+    return _taken(rows, plan).select(*[F.col(working(c)).alias(c) for c in kept], *added)
 
 
 def thresholds(slim: DataFrame, weights: Sequence[int], max_repeats: int) -> DataFrame:
@@ -84,9 +86,11 @@ def thresholds(slim: DataFrame, weights: Sequence[int], max_repeats: int) -> Dat
     size = F.greatest("source_size", F.lit(1))
     plan = plan.withColumn("passes", F.floor(budget / size).cast("long"))
     plan = stored(plan.withColumn("rest", budget - F.col("passes") * F.col("source_size")).withColumns({"prefix": F.lit(0).cast("long"), "tied": F.col("source_size")}))
-    for level in range(1, LEVELS + 1):
+    inside = slim
+    for level in range(1, len(LEVEL_BITS) + 1):
         now = plan.select("source", "prefix", "rest")
-        inside = slim if level == 1 else join_small(slim, now, "source").where(_bucket(level - 1) == F.col("prefix")).select(slim["source"], "hash", "size")
+        if level > 1:
+            inside = stored(join_small(inside, now, "source").where(_bucket(level - 1) == F.col("prefix")).select(inside["source"], "hash", "size"))
         sums = inside.groupBy("source", _bucket(level).alias("bucket")).agg(F.sum("size").alias("words"))
         by = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         sums = sums.withColumn("upto", F.sum("words").over(by))

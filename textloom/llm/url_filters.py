@@ -8,9 +8,10 @@ Scale: captures are first reduced to distinct (host, fetch day), which alone mee
 Both joins broadcast under a counted row limit and are salted beyond it, so one host may hold a third of all captures.
 
 Defined cases: a URL without a host (null, empty, relative) matches nothing; hosts compare in lower case without
-port, user or trailing dot; a null fetch time matches nothing; equal entries count once, and of entries for one domain
-and day the removal stands; an interval starts on its day and ends before the next entry's day; repeated captures
-are judged alike; other columns of the captures pass through.
+port, user or trailing dot; a null fetch time matches nothing; equal entries count once, and of entries for one domain,
+category and day the removal stands; an interval starts on its day and ends before the next entry's day; repeated captures
+are judged alike, and so are ones with a null id; a fetch time that is no time counts as null; an empty table gives no
+rows; other columns of the captures pass through under any name, except the added ones, which are replaced.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from textloom.llm.common import join_small, stored
+from textloom.llm.common import column, join_small, prefixed, stored, working
 
 #: A small dated list (domain, category, action, day).
 BLOCK_LIST = (
@@ -53,7 +54,7 @@ def parents_of(host: Column) -> Column:
 
 def intervals(entries: DataFrame) -> DataFrame:
     """(domain, category, valid_from, valid_until) from dated entries (domain, category, action, day)."""
-    clean = entries.select(F.lower("domain").alias("domain"), "category", "action", F.col("day").cast("date").alias("day"))
+    clean = entries.select(F.lower("domain").alias("domain"), "category", "action", F.col("day").try_cast("date").alias("day"))
     clean = clean.where("domain is not null and day is not null").distinct()
     # of one domain, category and day, a removal stands
     ranked = Window.partitionBy("domain", "category", "day").orderBy(F.desc("action"))
@@ -64,17 +65,17 @@ def intervals(entries: DataFrame) -> DataFrame:
 
 def evaluate(captures: DataFrame, entries: DataFrame, url_col: str = "url", time_col: str = "fetch_time") -> DataFrame:
     """``captures`` with host, blocked and matched (the active entries' domains and categories, in order)."""
-    rows = captures.withColumns({"host": host_of(F.col(url_col)), "_day": F.col(time_col).cast("date")})
-    rows = rows.withColumn("_key", F.concat_ws("|", "host", "_day"))
-    asked = rows.where("host is not null and _day is not null").select("_key", "host", "_day").distinct()
+    kept = [c for c in captures.columns if c not in ("host", "blocked", "matched")]
+    rows = captures.select(*[prefixed(c) for c in kept], host_of(column(url_col)).alias("_host"), column(time_col).try_cast("date").alias("_day"))
+    rows = rows.withColumn("_key", F.concat_ws("|", "_host", "_day"))
+    asked = rows.where("_host is not null and _day is not null").select("_key", "_host", "_day").distinct()
     spans = stored(intervals(entries))
-    candidates = asked.select("_key", "_day", F.explode(parents_of(F.col("host"))).alias("_domain"))
+    candidates = asked.select("_key", "_day", F.explode(parents_of(F.col("_host"))).alias("_domain"))
     listed = join_small(candidates, spans.withColumnRenamed("domain", "_domain"), "_domain")
     active = listed.where("_day >= valid_from and (valid_until is null or _day < valid_until)")
-    verdicts = active.groupBy("_key").agg(F.array_join(F.array_sort(F.collect_set(F.concat_ws(":", "_domain", "category"))), ",").alias("matched"))
+    verdicts = active.groupBy("_key").agg(F.array_join(F.array_sort(F.collect_set(F.concat_ws(":", "_domain", "category"))), ",").alias("_matched"))
     out = join_small(rows, stored(verdicts), "_key", "left")
-    out = out.withColumns({"blocked": F.col("matched").isNotNull(), "matched": F.coalesce("matched", F.lit(""))})
-    return out.drop("_day", "_key")
+    return out.select(*[F.col(working(c)).alias(c) for c in kept], F.col("_host").alias("host"), F.col("_matched").isNotNull().alias("blocked"), F.coalesce("_matched", F.lit("")).alias("matched"))
 
 
 def fixed_list(spark: SparkSession) -> DataFrame:
@@ -97,7 +98,7 @@ ORACLE = f"""
 WITH entries(domain, category, action, day) AS (VALUES
   {_ROWS}),
 spans AS (
-  SELECT domain, category, action, day AS valid_from, lead(day) OVER (PARTITION BY domain ORDER BY day) AS valid_until FROM entries),
+  SELECT domain, category, action, day AS valid_from, lead(day) OVER (PARTITION BY domain, category ORDER BY day) AS valid_until FROM entries),
 captures AS (
   SELECT page_id, nullif(rtrim(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#@]+)', 1), '.'), '') AS host,
     (DATE '{FIRST_DAY}' + (((page_id % {DAYS}) + {DAYS}) % {DAYS})::INT)::DATE AS day
