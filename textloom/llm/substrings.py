@@ -274,16 +274,19 @@ def _repeated(hot: int):
 
 
 class _Deep:
-    """The windows of a chunk whose anchor repeats, less those that another one of the chunk settles."""
+    """The windows of a chunk whose anchor is marked for their row, or is ``among`` these: settled by the chunk, and open."""
 
-    def __init__(self, batch: pa.RecordBatch, texts: list[bytes | None], window: int, short: int):
+    def __init__(self, batch: pa.RecordBatch, texts: list[bytes | None], window: int, short: int, among: np.ndarray | None = None):
         self.chunk = c = Chunk(texts, window, short)
         self.h = batch.column("_h").to_numpy()
         ranks = _ranks(batch.column("_id"))
-        marks = [np.frombuffer(b"".join(m), np.uint64) for m in batch.column("_marks").to_pylist()]
-        owner = lambda rows: _mixed(rows.astype(np.uint64) + np.uint64(1))
-        known = np.concatenate([m ^ owner(np.full(len(m), r)) for r, m in enumerate(marks)])
-        wanted = np.nonzero(np.isin(c.anchors ^ owner(c.rows), known))[0]
+        if among is None:
+            marks = [np.frombuffer(b"".join(m), np.uint64) for m in batch.column("_marks").to_pylist()]
+            owner = lambda rows: _mixed(rows.astype(np.uint64) + np.uint64(1))
+            known = np.concatenate([m ^ owner(np.full(len(m), r)) for r, m in enumerate(marks)])
+            wanted = np.nonzero(np.isin(c.anchors ^ owner(c.rows), known))[0]
+        else:
+            wanted = np.nonzero(np.isin(c.anchors, among))[0]
         rank, start, rows = ranks[c.rows[wanted]], c.start[wanted], c.rows[wanted]
         self.labels = _labels(c.hashes, window)[c.at[wanted]] if len(wanted) else c.grams[:0]
         order = np.lexsort((start, rank, self.labels))
@@ -296,16 +299,6 @@ class _Deep:
         self.settled, self.open = np.sort(wanted[equal & apart]), np.sort(wanted[~(equal & apart) & ~again])
 
 
-def _marked(batches: Iterator[pa.RecordBatch], window: int, short: int, among: np.ndarray | None = None) -> Iterator[tuple[pa.RecordBatch, _Deep]]:
-    """Chunks of the rows with marked anchors (``among`` these, where given)."""
-    for batch in batches:
-        if among is not None:
-            hits = [bool(np.isin(np.frombuffer(b"".join(m), np.uint64), among).any()) for m in batch.column("_marks").to_pylist()]
-            batch = batch.filter(pa.array(hits, pa.bool_()))
-        for part, texts in _chunks([batch]):
-            yield part, _Deep(part, texts, window, short)
-
-
 def _under(deep: _Deep, hots: list[np.ndarray], upto: int) -> tuple[np.ndarray, np.ndarray]:
     """Open windows whose prefixes of all lengths before ``upto`` are hot, and their keys by the length there."""
     c, chosen = deep.chunk, deep.open
@@ -319,8 +312,8 @@ def _counts(window: int, short: int, hots: list[np.ndarray]):
     """How many open windows of each chunk lie under each prefix that is one length longer than the last hot ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, deep in _marked(batches, window, short, hots[0]):
-            keys, n = np.unique(_under(deep, hots, len(hots))[1], return_counts=True)
+        for batch, texts in _chunks(batches):
+            keys, n = np.unique(_under(_Deep(batch, texts, window, short, hots[0]), hots, len(hots))[1], return_counts=True)
             yield pa.RecordBatch.from_pydict({"_key": pa.array(keys.view(np.int64)), "_n": pa.array(n.astype(np.int64))})
 
     return run
@@ -334,7 +327,8 @@ def _leaves(groups: int, window: int, short: int, hots: list[np.ndarray]):
     """Open windows by group, as stretches of words; settled ones have no words. Windows that are whole prefixes stay out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, deep in _marked(batches, window, short):
+        for batch, texts in _chunks(batches):
+            deep = _Deep(batch, texts, window, short)
             c, chosen, ids = deep.chunk, deep.open, batch.column("_id")
             keys, whole = c.anchors[chosen], np.zeros(len(chosen), bool)
             for upto in range(1, len(hots) + 1):
@@ -365,16 +359,17 @@ def _leaves(groups: int, window: int, short: int, hots: list[np.ndarray]):
 
 
 def _whole_windows(window: int, short: int, hots: list[np.ndarray]):
-    """Leaves of the prefixes that are whole windows: the words and where they stand."""
+    """Leaves of the prefixes that are whole windows: where they stand, and the words unless the chunk settles them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, deep in _marked(batches, window, short, hots[0]):
+        for batch, texts in _chunks(batches):
+            deep = _Deep(batch, texts, window, short, hots[0])
             c, chosen = deep.chunk, _under(deep, hots, len(PREFIXES) + 1)[0]
-            words = [bytes(c.text(a, a + window)) for a in c.at[chosen].tolist()]
-            rows = c.rows[chosen]
+            words = [bytes(c.text(a, a + window)) for a in c.at[chosen].tolist()] + [None] * len(deep.settled)
+            chosen = np.concatenate([chosen, deep.settled])
             yield pa.RecordBatch.from_pydict({
-                "_window": pa.array(words, pa.binary()), "_id": batch.column("_id").take(pa.array(rows, pa.int64())),
-                "_h": pa.array(deep.h[rows], pa.int64()), "_start": pa.array(c.start[chosen].astype(np.int32)),
+                "_window": pa.array(words, pa.binary()), "_id": batch.column("_id").take(pa.array(c.rows[chosen], pa.int64())),
+                "_h": pa.array(deep.h[c.rows[chosen]], pa.int64()), "_start": pa.array(c.start[chosen].astype(np.int32)),
             })
 
     return run
@@ -475,10 +470,9 @@ def repeat_starts(keyed: DataFrame, window: int = 20, short: int = 6, group_word
 
     first = repeated.where("_keys is null and _h is not null").select(F.col("_h").alias("_key"))
     hots = _hot_keys(first)
-    if hots:
-        marked = stored(marked)
+    # what lies under hot prefixes is read from the texts where they are: their list goes to them, and nothing is shuffled
     while hots and len(hots) <= len(PREFIXES):
-        counted = marked.mapInArrow(_counts(window, short, hots), "_key long, _n long")
+        counted = texts.mapInArrow(_counts(window, short, hots), "_key long, _n long")
         longer = _hot_keys(counted.groupBy("_key").agg(F.sum("_n").alias("_n")).where(F.col("_n") * window * 4 > group_words).select("_key"))
         if not longer:
             hots.append(np.zeros(0, np.uint64))
@@ -488,7 +482,7 @@ def repeat_starts(keyed: DataFrame, window: int = 20, short: int = 6, group_word
     leaves = marked.mapInArrow(_leaves(groups, window, short, hots), schema)
     found = leaves.groupBy("_group").applyInArrow(_subtree(window, arrow_id), f"_id {id_type}, _h long, _found array<int>")
     if len(hots) > len(PREFIXES):
-        found = found.unionByName(_of_whole_windows(marked.mapInArrow(_whole_windows(window, short, hots), f"_window binary, _id {id_type}, _h long, _start int")))
+        found = found.unionByName(_of_whole_windows(texts.mapInArrow(_whole_windows(window, short, hots), f"_window binary, _id {id_type}, _h long, _start int")))
     return found
 
 
@@ -499,9 +493,12 @@ def _hot_keys(keys: DataFrame) -> list[np.ndarray]:
 
 
 def _of_whole_windows(leaves: DataFrame) -> DataFrame:
+    leaves = stored(leaves)
     order = F.struct(F.col("_id").isNull(), "_id", "_start")
-    least = stored(leaves.groupBy("_window").agg(F.min(order).alias("_least")))
-    late = join_small(leaves, least, "_window").where(order > F.col("_least"))
+    still = leaves.where("_window is not null")
+    least = stored(still.groupBy("_window").agg(F.min(order).alias("_least")))
+    late = join_small(still, least, "_window").where(order > F.col("_least")).select("_id", "_h", "_start")
+    late = late.unionByName(leaves.where("_window is null").select("_id", "_h", "_start"))
     return late.groupBy("_id", "_h").agg(F.collect_list("_start").alias("_found"))
 
 
