@@ -53,3 +53,9 @@ def test_prompts_and_evaluators(spark):
     row = benchmarks.term_accuracy(prompts, glossary, StubScorer()).first()
     assert (row["score"], row["num_correct"], row["passed"]) == (0.5, 1, True)
     assert benchmarks.sample_results(prompts, glossary, StubScorer()).first()["matched_terms"] == ["tort"]
+
+
+def test_a_repeated_name_counts_by_its_last_row_at_its_first_place(spark):
+    rows = lambda xs: spark.createDataFrame([(k, n, s) for k, (n, s) in enumerate(xs)], "ord long, name string, score double")
+    out = evaluation.compare_results(rows([("a", 0.1), ("b", 0.5), ("a", 0.9)]), rows([("b", 0.4), ("a", 0.2), ("a", 0.8)])).orderBy("ord").collect()
+    assert [(r["name"], r["base_score"], r["adapted_score"]) for r in out] == [("a", 0.9, 0.8), ("b", 0.5, 0.4)]

@@ -92,10 +92,11 @@ def term_recall(texts: DataFrame, terms: DataFrame, text_col: str = "text", term
 
 
 def compare_results(base: DataFrame, adapted: DataFrame, max_drop: float = 0.05, ord_col: str = "ord") -> DataFrame:
-    """(ord, name, base_score, adapted_score, delta, drop, retained) of tests in both, in base order; a repeated name's last row counts."""
-    last = lambda df: df.withColumn("_k", F.row_number().over(Window.partitionBy("name").orderBy(F.desc(ord_col)))).where("_k = 1").drop("_k")
-    b = base.select("name", ord_col, F.col("score").alias("base_score"))
-    a = last(adapted).select("name", F.col("score").alias("adapted_score"))
+    """(ord, name, base_score, adapted_score, delta, drop, retained) of tests in both; of a repeated name, on either side, the
+    last row's score counts, at the place of the first."""
+    last = lambda df, name: df.groupBy("name").agg(F.min(ord_col).alias(ord_col), F.max_by("score", ord_col).alias(name))
+    b = last(base, "base_score")
+    a = last(adapted, "adapted_score").drop(ord_col)
     out = b.join(a, "name").withColumn("delta", F.col("adapted_score") - F.col("base_score"))
     out = out.withColumn("drop", F.greatest(F.lit(0.0), F.col("base_score") - F.col("adapted_score")))
     return out.withColumn("retained", F.col("drop") <= max_drop)

@@ -22,13 +22,14 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     raw = spark.read.text(path)
     placed = raw.select("value", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("mono"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
     sizes = placed.groupBy("part").agg(F.count("*").alias("n"), F.min(F.struct("file", "start")).alias("at")).collect()
-    base, seen = {}, 0
+    base, seen = [], 0
     for r in sorted(sizes, key=lambda r: r["at"]):
-        base[r["part"]], seen = seen, seen + r["n"]
-    if not base:
-        return raw.select(F.lit(0).cast("long").alias("ord"), "value").limit(0)
-    offset = F.element_at(F.create_map(*[F.lit(x) for kv in base.items() for x in kv]), F.col("part"))
-    return placed.select((offset + F.col("mono").bitwiseAND(F.lit((1 << 33) - 1))).cast("long").alias("ord"), "value")
+        base.append((r["part"], seen))
+        seen += r["n"]
+    # one row for each task that read something: as many as the driver has scheduled, so small enough to ship
+    offsets = F.broadcast(spark.createDataFrame(base, "part int, offset long"))
+    place = (F.col("offset") + F.col("mono").bitwiseAND(F.lit((1 << 33) - 1))).cast("long")
+    return placed.join(offsets, "part").select(place.alias("ord"), "value")
 
 
 def _blank(value: Column) -> Column:
