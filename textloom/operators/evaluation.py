@@ -133,7 +133,22 @@ def report_summary(benchmarks: DataFrame) -> DataFrame:
     )
 
 
-def running_accuracy(predictions: DataFrame, ord_col: str, group_col: str, correct_col: str = "is_correct") -> DataFrame:
-    """Accuracy so far, in order, within each group."""
-    frame = Window.partitionBy(group_col).orderBy(ord_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return predictions.withColumn("running_accuracy", F.avg(F.col(correct_col).cast("double")).over(frame))
+def _so_far(ord_col: str, group_col: str | None):
+    keys = [group_col] if group_col else []  # ungrouped, the order of all rows is one task's, as any running total's is
+    return Window.partitionBy(*keys).orderBy(ord_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
+def running_accuracy(predictions: DataFrame, ord_col: str, group_col: str | None = None, correct_col: str = "is_correct") -> DataFrame:
+    """Accuracy so far, in order, within each group or, without one, over all rows."""
+    return predictions.withColumn("running_accuracy", F.avg(F.col(correct_col).cast("double")).over(_so_far(ord_col, group_col)))
+
+
+def running_macro_f1(predictions: DataFrame, labels: tuple[str, ...], ord_col: str, group_col: str | None = None, true_col: str = "label", pred_col: str = "predicted") -> DataFrame:
+    """Macro F1 so far over those of ``labels`` that were seen or predicted, in order; 0 before any of them."""
+    w, t, p = _so_far(ord_col, group_col), F.col(true_col), F.col(pred_col)
+    count = lambda c: F.sum(F.coalesce(c, F.lit(False)).cast("long")).over(w)
+    # f1 = 2 tp / (rows of that label + rows predicted so)
+    parts = [F.struct(count((t == x) & (p == x)).alias("tp"), (count(t == x) + count(p == x)).alias("n")) for x in labels]
+    out = predictions.withColumn("_parts", F.filter(F.array(*parts), lambda x: x["n"] > 0))
+    total = F.aggregate("_parts", F.lit(0.0), lambda acc, x: acc + 2.0 * x["tp"] / x["n"])
+    return out.withColumn("running_f1", F.when(F.size("_parts") > 0, total / F.size("_parts")).otherwise(F.lit(0.0))).drop("_parts")

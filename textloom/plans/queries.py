@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions import text as tx
-from textloom.operators import chat, chunking, dedup, evaluation, generation, inference, mixing, packing, quality, synthetic_quality, terms
-from textloom.session import materialised, spread
-from textloom.sources import readers
+from textloom.operators import benchmarks, chat, chunking, dedup, evaluation, generation, inference, mixing, packing, quality, synthetic_quality, terms
+from textloom.session import materialised, scratch_path, spread
+from textloom.sources import readers, sinks
+from textloom.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -618,6 +619,16 @@ def running_accuracy(spark, sf_dir):
     return out.select("doc_id", "source", F.round("running_accuracy", 6).alias("running_accuracy"))
 
 
+@query(f"""{_JUDGED}, seen AS (
+  SELECT source, doc_id, [{", ".join(f"struct_pack(tp := sum((label = {k} AND predicted = {k})::INT) OVER w, n := sum((label = {k})::INT + (predicted = {k})::INT) OVER w)" for k in (0, 1))}] AS parts
+  FROM (SELECT source, doc_id, label::INT AS label, predicted::INT AS predicted FROM judged) WINDOW w AS (PARTITION BY source ORDER BY doc_id)),
+kept AS (SELECT source, doc_id, list_filter(parts, lambda x: x.n > 0) AS parts FROM seen)
+SELECT source, doc_id, round(list_sum(list_transform(parts, lambda x: 2.0::DOUBLE * x.tp / x.n)) / len(parts), 6) AS running_f1 FROM kept""")
+def running_f1(spark, sf_dir):
+    rows = _judged(spark, sf_dir).withColumns({c: F.col(c).cast("int") for c in ("label", "predicted")})
+    return evaluation.running_macro_f1(rows, (0, 1), "doc_id", "source").select("source", "doc_id", F.round("running_f1", 6).alias("running_f1"))
+
+
 @query("""
 SELECT item_id, 'Question: ' || text || chr(10) || chr(10) || 'A. one' || chr(10) || 'B. two' || chr(10) || 'C. three' || chr(10) || 'D. four' || chr(10) || '4. five' || chr(10) || chr(10) || 'Answer:' AS prompt
 FROM benchmark""")
@@ -655,3 +666,142 @@ SELECT doc_id, CASE WHEN said = '' THEN 'unknown'
 def clause_parse(spark, sf_dir):
     reply = F.element_at(F.array(*map(F.lit, REPLIES)), (F.col("doc_id") % len(REPLIES) + 1).cast("int"))
     return docs(spark, sf_dir).select("doc_id", inference.parse_label(reply).alias("label"))
+
+
+# --- sources and sinks: written to the shared folder and read again --------------------------------------------------
+def _written(spark, rows: DataFrame) -> str:
+    path = scratch_path(spark)
+    sinks.write_jsonl(rows, path)
+    return path
+
+
+def _documents_file(spark, sf_dir) -> str:
+    rows = docs(spark, sf_dir).select("text", F.col("doc_id").cast("string").alias("doc_id"), F.create_map(F.lit("category"), F.col("source")).alias("metadata"), "lang")
+    return _written(spark, rows)
+
+
+@query("SELECT doc_id::VARCHAR AS doc_id, md5(coalesce(text, '')) AS digest, 'mine' AS source, source AS category, lang FROM documents")
+def jsonl_documents(spark, sf_dir):
+    out = readers.read_jsonl_documents(spark, _documents_file(spark, sf_dir), "mine")
+    of = lambda k: F.try_element_at("metadata", F.lit(k)).alias(k)
+    return out.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), "source", of("category"), of("lang"))
+
+
+@query("SELECT 0 AS src, doc_id::VARCHAR AS doc_id FROM documents WHERE source IN ('src1', 'src3') UNION ALL SELECT 2, doc_id::VARCHAR FROM documents WHERE source IN ('src1', 'src3')")
+def configured_sources(spark, sf_dir):
+    path = _documents_file(spark, sf_dir)
+    sources = [{"type": "local", "path": path, "name": "one"}, {"type": "other", "path": path}, {"type": "jsonl", "path": path, "name": "two"}]
+    return readers.read_sources(spark, sources, categories=["src1", "src3"]).select("src", "doc_id")
+
+
+@query("SELECT md5(text) AS digest, lang, 'mirror' AS source FROM documents WHERE doc_id % 2 = 0 AND text <> ''")
+def hosted_split(spark, sf_dir):
+    path = scratch_path(spark)
+    for k, split in enumerate(("train", "test")):
+        docs(spark, sf_dir).where(F.col("doc_id") % 2 == k).write.parquet(f"{path}/{split}")
+    out = readers.read_hosted(spark, path, "mirror", split="train")
+    return out.select(F.md5(F.col("text").cast("binary")).alias("digest"), F.try_element_at("metadata", F.lit("lang")).alias("lang"), "source")
+
+
+@query("SELECT count(*) AS documents, sum(length(text))::BIGINT AS total_characters FROM documents")
+def corpus_written(spark, sf_dir):
+    seen = sinks.write_corpus(docs(spark, sf_dir).select("text", "doc_id", "source"), scratch_path(spark))
+    return spark.createDataFrame([(seen["documents"], seen["total_characters"])], "documents long, total_characters long")
+
+
+@query("SELECT 'What is ' || item_id || '?' AS question, text AS answer, item_id::VARCHAR AS source_doc_id, 'qa' AS category, 1.0::DOUBLE AS quality_score FROM benchmark")
+def qa_file(spark, sf_dir):
+    ask = F.concat(F.lit("What is "), F.col("item_id").cast("string"), F.lit("?"))
+    path = scratch_path(spark)
+    sinks.write_pairs(table(spark, sf_dir, "benchmark").select(ask.alias("question"), F.col("text").alias("answer"), F.col("item_id").cast("string").alias("source_doc_id")), path, "raw")
+    return readers.read_qa_pairs(spark, path).select("question", "answer", "source_doc_id", "category", "quality_score")
+
+
+@query("SELECT 'What is ' || item_id || '?' AS asked, text AS reply FROM benchmark")
+def chat_file(spark, sf_dir):
+    ask = F.concat(F.lit("What is "), F.col("item_id").cast("string"), F.lit("?"))
+    path = scratch_path(spark)
+    sinks.write_pairs(table(spark, sf_dir, "benchmark").select(ask.alias("instruction"), F.col("text").alias("response")), path)
+    said = lambda k, name: F.element_at("messages", k)["content"].alias(name)
+    return readers.read_examples(spark, path).select(said(-2, "asked"), said(-1, "reply"))
+
+
+@query("SELECT text, lang AS label, source AS context FROM documents WHERE text IS NOT NULL")
+def clause_file(spark, sf_dir):
+    rows = docs(spark, sf_dir).where("text IS NOT NULL").select("text", F.col("lang").alias("label"), F.col("source").alias("context"))
+    return readers.read_clauses(spark, _written(spark, rows)).select("text", "label", "context")
+
+
+@query("SELECT text AS prompt, item_id::VARCHAR AS expected FROM benchmark")
+def prompt_file(spark, sf_dir):
+    rows = table(spark, sf_dir, "benchmark").select(F.col("text").alias("prompt"), F.array(F.col("item_id").cast("string")).alias("expected_terms"))
+    return readers.read_prompts(spark, _written(spark, rows)).select("prompt", F.get("expected_terms", F.lit(0)).alias("expected"))
+
+
+@query("SELECT source AS name, count(*)::DOUBLE AS score, 'accuracy' AS metric, count(*) AS num_examples FROM documents WHERE source IS NOT NULL GROUP BY source")
+def report_file(spark, sf_dir):
+    rows = docs(spark, sf_dir).where("source IS NOT NULL").groupBy(F.col("source").alias("name")).agg(F.count("*").alias("n")).collect()
+    path = scratch_path(spark)
+    sinks.write_json(spark, {"benchmarks": [{"name": r["name"], "score": float(r["n"]), "num_examples": r["n"]} for r in rows]}, path)
+    return readers.read_baseline(spark, path).select("name", "score", "metric", "num_examples")
+
+
+# --- model-backed operators, with a model that SQL can state ---------------------------------------------------------
+class ShortestScorer:
+    """Prefers the shortest continuation; answers a classification prompt with its clause."""
+
+    def generate(self, prompts: list[str], max_new_tokens: int = 128) -> list[str]:
+        return [p.split("Clause: ", 1)[-1].removesuffix("\n\nCategory:") for p in prompts]
+
+    def loglik(self, prompts: list[str], continuations: list[str]) -> list[float]:
+        return [-float(len(c)) for c in continuations]
+
+
+def _questions(spark, sf_dir) -> DataFrame:
+    """Five choices, of which the one at ``item_id % 5`` is shortest; the right one is at ``item_id % 3``."""
+    n = F.monotonically_increasing_id()
+    rows = table(spark, sf_dir, "benchmark").select("text", F.length("text").alias("n"))
+    choices = F.array(*[F.when(F.col("n") % 5 == k, F.lit("x")).otherwise(F.lit("longer")) for k in range(5)])
+    rows = rows.select(n.alias("id"), F.col("text").alias("question"), choices.alias("choices"), (F.col("n") % 3).alias("answer"))
+    return readers.read_questions(spark, _written(spark, rows))
+
+
+@query("SELECT text AS question, (length(text) % 3)::INT AS correct_index, (length(text) % 5)::INT AS best, substr('ABCD4', (length(text) % 5 + 1)::INT, 1) AS predicted FROM benchmark")
+def choice_scores(spark, sf_dir):
+    return benchmarks.mcq_predictions(_questions(spark, sf_dir), ShortestScorer()).select("question", "correct_index", "best", "predicted")
+
+
+_RIGHT = "count(*) FILTER (length(text) % 3 = length(text) % 5)"
+
+
+@query(f"""SELECT 'bar_exam' AS name, 'accuracy' AS metric, round({_RIGHT}::DOUBLE / count(*), 6) AS score, count(*) AS num_examples, {_RIGHT} AS num_correct,
+  0.7::DOUBLE AS passing_threshold, {_RIGHT}::DOUBLE / count(*) >= 0.7::DOUBLE AS passed FROM benchmark""")
+def bar_exam(spark, sf_dir):
+    return benchmarks.bar_exam(_questions(spark, sf_dir), ShortestScorer()).withColumn("score", F.round("score", 6))
+
+
+@query(f"SELECT length(text)::INT % 4 AS subset, count(*) AS num_examples, {_RIGHT} AS num_correct FROM benchmark GROUP BY 1")
+def knowledge_subsets(spark, sf_dir):
+    rows = _questions(spark, sf_dir).withColumn("subset", F.length("question") % 4)
+    return benchmarks.general_knowledge(rows, ShortestScorer())[1].where("NOT is_total").select("subset", "num_examples", "num_correct")
+
+
+_LABELS = f"[{', '.join(map(_quote, inference.CLAUSE_TYPES))}]"
+
+
+@query(f"SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'unknown' ELSE {_LABELS}[(doc_id % 10 + 1)::INT] END AS predicted FROM documents")
+def clause_predictions(spark, sf_dir):
+    label = F.element_at(F.array(*map(F.lit, inference.CLAUSE_TYPES)), (F.col("doc_id") % 10 + 1).cast("int"))
+    rows = docs(spark, sf_dir).select("doc_id", F.when(F.col("doc_id") % 3 == 0, F.lit("zzz")).otherwise(F.translate(label, "_", " ")).alias("text"))
+    return benchmarks.clause_predictions(rows, ShortestScorer()).select("doc_id", "predicted")
+
+
+# --- streaming -------------------------------------------------------------------------------------------------------
+@query(ORACLE_SQL["quality_filter"])
+def quality_filter_stream(spark, sf_dir):
+    """The corpus as a stream through the quality filter, until all of it is read."""
+    path, schema = scratch_path(spark), docs(spark, sf_dir).schema
+    docs(spark, sf_dir).write.parquet(f"{path}-in")  # a stream reads a folder, and the table may be one file
+    stream = incremental.filtered_stream(spark.readStream.schema(schema).parquet(f"{path}-in"))
+    stream.writeStream.option("checkpointLocation", f"{path}-progress").trigger(availableNow=True).start(path).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(path).select(*QUERIES["quality_filter"](spark, sf_dir).columns)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,11 +28,22 @@ def create_session(master: str | None = None, app: str = "textloom", **extra: st
     return builder.getOrCreate()
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The checkpoint folder that all executors share; a temporary one only where none is named."""
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="textloom-"))
+    return context.getCheckpointDir()
+
+
+def scratch_path(spark: SparkSession) -> str:
+    """A fresh path in the shared folder."""
+    return f"{shared_dir(spark)}/textloom/{uuid.uuid4().hex}"
+
+
 def materialised(df: DataFrame) -> DataFrame:
     """Cuts the lineage of ``df`` with a reliable checkpoint in the folder that all executors share."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="textloom-"))
+    shared_dir(df.sparkSession)
     return df.checkpoint()
 
 

@@ -78,10 +78,20 @@ def documents_from_table(rows: DataFrame, source_name: str, text_field: str = "t
     )
 
 
-def read_hosted(spark: SparkSession, path: str, source_name: str = "", text_field: str = "text", max_documents: int | None = None, split: str = "train") -> DataFrame:
-    """A local mirror of a hosted dataset: a folder of Parquet or JSON lines, or of one such folder by split."""
+def _exists(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
+def read_hosted(spark: SparkSession, path: str, source_name: str = "", text_field: str = "text", max_documents: int | None = None, split: str = "train", subset: str | None = None) -> DataFrame:
+    """A local mirror of a hosted dataset: a folder of Parquet or JSON lines, or of one such folder by subset and split.
+
+    A named subset must exist. A mirror without a folder for ``split`` counts as one of that split alone.
+    """
+    root = f"{path}/{subset}" if subset else path
+    whole = f"{root}/{split}" if _exists(spark, f"{root}/{split}") else root
     form = "json" if path.endswith((".json", ".jsonl")) else "parquet"
-    return documents_from_table(spark.read.format(form).load(path), source_name or path.rstrip("/").rsplit("/", 1)[-1], text_field, max_documents=max_documents)
+    return documents_from_table(spark.read.format(form).load(whole), source_name or path.rstrip("/").rsplit("/", 1)[-1], text_field, max_documents=max_documents)
 
 
 def in_categories(categories: Iterable[str] | None) -> Column:
@@ -103,7 +113,7 @@ def read_sources(spark: SparkSession, sources: list[dict], max_documents: int |
         if kind in ("local", "jsonl") and path:
             one = read_jsonl_documents(spark, path, s.get("name", "local"))
         elif kind in ("huggingface", "hf") and (path or s.get("name")):
-            one = read_hosted(spark, path or s["name"], s.get("name", ""), s.get("text_field", "text"))
+            one = read_hosted(spark, path or s["name"], s.get("name", ""), s.get("text_field", "text"), split=s.get("split", "train"), subset=s.get("subset"))
         else:
             log.warning("source %d of type %r is skipped", k, kind)
             continue
