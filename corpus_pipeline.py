@@ -24,7 +24,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of copies and near copies: five-word shingles, similarity 0.8 or more."""
+    """Keeps one document of each group of copies and near copies: SimHash candidates, five-word similarity 0.8 or more."""
     return near_copies.drop_near_copies(docs)
 
 

@@ -107,3 +107,73 @@ def test_sieve_keeps_every_key_and_passes_each_row_once(spark):
 
 def test_empty_input_gives_no_rows(spark):
     assert near_copies.drop_near_copies(h.frame(spark, ["a b"]).limit(0)).count() == 0
+
+
+def votes_spec(hashes):
+    return sum(1 << b for b in range(64) if 2 * sum(int(x) >> b & 1 for x in hashes) > len(hashes))
+
+
+def keys_of(shingles):
+    return set(near_copies.band_keys(shingles).tolist()) - {0}
+
+
+def pair_at(rng, a, b, shared):
+    every = rng.integers(0, 1 << 64, a + b - shared, np.uint64)
+    return np.sort(every[:a]), np.sort(every[a - shared :])
+
+
+def test_fingerprints_are_majority_votes_of_sets_and_slices():
+    rng = np.random.default_rng(5)
+    for n in (4, 5, 70, 1500):
+        s = np.unique(rng.integers(0, 1 << 64, n, np.uint64))
+        assert int(near_copies.whole_fingerprint(s)) == votes_spec(s)
+        for level in near_copies.levels(len(s)):
+            words, counts = near_copies.part_words(s, level)
+            for k, (word, count) in enumerate(zip(words.ravel(), counts.ravel(), strict=True)):
+                hashed = [int(x ^ near_copies._FLIPS[k]) * int(near_copies._FACTORS[k]) % (1 << 64) for x in s]
+                sampled = [x for x, y in zip(s, hashed, strict=True) if y < 1 << (64 - level)]
+                assert (int(word), int(count)) == (votes_spec(sampled), len(sampled))
+    long = rng.integers(0, 1 << 64, 150_000, np.uint64)
+    ones = ((long[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)).sum(axis=0)
+    assert int(near_copies.whole_fingerprint(long)) == sum(1 << b for b in range(64) if 2 * int(ones[b]) > len(long))
+
+
+def test_masks_cover_two_bits_of_the_whole_and_one_word_of_each_part(monkeypatch):
+    rng = np.random.default_rng(6)
+    s, other = (np.unique(rng.integers(0, 1 << 64, 200, np.uint64)) for _ in range(2))
+    common = lambda: keys_of(s) & keys_of(other)
+    assert not common()
+    whole = near_copies.whole_fingerprint(s)
+    for _ in range(40):
+        i, j = (np.uint64(x) for x in rng.choice(64, 2, replace=False))
+        near = whole ^ (np.uint64(1) << i) ^ (np.uint64(1) << j)
+        with monkeypatch.context() as m:
+            m.setattr(near_copies, "whole_fingerprint", lambda x, n=near: n if x is other else whole)
+            assert common()
+    slices = near_copies.part_words
+    for k in range(near_copies.WORDS_A_PART):
+        def changed(x, level, k=k):
+            words, counts = slices(s, level)
+            words[1 if x is other else 0 :, k] ^= np.uint64(0xFFFF if x is other else 0)  # all bits of a word may differ
+            return words, np.full_like(counts, 1)
+
+        with monkeypatch.context() as m:
+            m.setattr(near_copies, "part_words", changed)
+            assert len(common()) >= near_copies.PARTS
+
+
+def test_pairs_at_the_threshold_share_a_key():
+    rng = np.random.default_rng(7)
+    sizes = [(4, 5, 4), (8, 10, 8), (9, 9, 8), (45, 45, 40), (47, 47, 42), (80, 100, 80), (100, 80, 80), (189, 189, 168), (383, 384, 341), (1530, 1530, 1360)]
+    for a, b, shared in sizes:
+        assert 10 * shared >= 8 * (a + b - shared)
+        for _ in range(150):
+            x, y = pair_at(rng, a, b, shared)
+            assert keys_of(x) & keys_of(y)
+
+
+def test_unlike_sets_and_those_without_links_share_no_key():
+    rng = np.random.default_rng(8)
+    assert all(near_copies.band_keys(np.arange(1, n + 1, dtype=np.uint64)).size == 0 for n in (1, 2, 3))
+    keys = [keys_of(np.unique(rng.integers(0, 1 << 64, n, np.uint64))) for n in rng.integers(4, 300, 400)]
+    assert sum(len(a & b) for k, a in enumerate(keys) for b in keys[:k]) <= 2

@@ -1,11 +1,21 @@
-"""Near copies by exact Jaccard similarity of word shingles: candidates from MinHash bands, then links and components.
+"""Near copies by SimHash: candidates from covering masks, then exact Jaccard similarity of word shingles and components.
 
 Two texts are linked if their sets of distinct shingles (``SIZE`` words, ASCII letters folded) have a similarity of
 ``SIMILARITY`` or more; links make components. Shingles stand as 64-bit hashes, and equal sets collapse into one class
 before anything else, so exact copies cost one row each.
 
-Candidates share all ``ROWS`` minima of one of ``BANDS`` bands: a pair at similarity 0.8 is missed with a chance of
-(1 - 0.8^4)^30, about 1e-7, and less above it. Every candidate is verified on the whole sets.
+A set's fingerprint is a 64-bit SimHash of the whole set, then ``PARTS`` parts of three words; a word is the 64-bit SimHash
+of a slice, the shingles that the slice's own hash samples. Covering masks give the keys: those of radius two over the
+bits of the whole (as in ``simhash``), and in each part those of radius one over its words, so that a part agrees under
+some mask if one word at most differs, by however many bits. Found for certain, by pigeonhole: pairs whose wholes
+differ in two bits or less, or whose parts differ in fewer than two words on average (but for sparse keys, below).
+The whole alone does not reach ``SIMILARITY``: at 0.8 about 15 % of its bits differ, 10 of 64, and masks of radius two
+find one such pair in five hundred. A slice's word is equal if the few shingles sampled are shared.
+
+The sampling rate is a power of a half and leaves ``SAMPLED`` to twice as many shingles in a slice; a set also has the keys
+of the next rate if a set it can be linked to has that. Keys of fewer than two sampled shingles are left out, being no sign
+of likeness. A pair at similarity 0.8 is then missed with a chance of 1e-7 at most, and less above it. Sets of up to
+three shingles have no links. Every candidate is verified on the whole sets.
 
 Scale: a bucket's classes are first compared with one of them, its pivot, which is linear. Buckets of over
 ``SMALL_BUCKET`` classes in several components take further rounds with other pivots. What is still in different
@@ -31,18 +41,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm.common import connected_components, stored
+from textloom.llm.simhash import covering_masks
 
 SIZE, SIMILARITY = 5, 0.8
 _PERCENT = round(100 * SIMILARITY)  # similarities are compared in whole numbers
-BANDS, ROWS = 30, 4
+PARTS, WORDS_A_PART, SAMPLED = 24, 3, 1.5
 SMALL_BUCKET, PIVOT_ROUNDS = 64, 2
 SKETCH = 16  # longs
 WORDS = 1 << 19  # bounds the broadcast bitmap
 _BLOCK = 512
 _rng = np.random.default_rng(42)
-_FLIPS = _rng.integers(0, 1 << 64, BANDS * ROWS, np.uint64)
-_FACTORS = _rng.integers(0, 1 << 64, BANDS * ROWS, np.uint64) | np.uint64(1)
-_PLACES = _rng.integers(0, 1 << 64, 64, np.uint64) | np.uint64(1)
+_SLICES = PARTS * WORDS_A_PART
+_FLIPS = _rng.integers(0, 1 << 64, _SLICES, np.uint64)
+_FACTORS = _rng.integers(0, 1 << 64, _SLICES, np.uint64) | np.uint64(1)
+_PLACES = _rng.integers(0, 1 << 64, max(64, _SLICES), np.uint64) | np.uint64(1)
+_WHOLE_MASKS = np.array(covering_masks(2), np.int64).view(np.uint64)
+#: The words of a part that each covering mask of radius one keeps: the masks' first positions have all its vectors.
+_PART_MASKS = [[k for k in range(WORDS_A_PART) if m >> k & 1] for m in covering_masks(1)]
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -64,13 +79,64 @@ def shingle_set(text: bytes | None, size: int = SIZE) -> np.ndarray:
     return np.unique(_mixed(total))
 
 
-def band_keys(shingles: np.ndarray) -> np.ndarray:
-    """One key by band of a non-empty set."""
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+def _votes(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The SimHash of each run of ``hashes``: bits set in over half of them."""
+    ones = np.zeros((len(starts), 64), np.int64)
+    for at in range(0, len(hashes), 1 << 16):
+        block = hashes[at : at + (1 << 16)]
+        first = max(0, int(np.searchsorted(starts, at, "right")) - 1)
+        last = int(np.searchsorted(starts, at + len(block)))
+        bits = np.unpackbits(block.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        ones[first:last] += np.add.reduceat(bits, np.maximum(starts[first:last] - at, 0), axis=0, dtype=np.int64)
+    counts = np.diff(np.append(starts, len(hashes)))
+    return np.packbits(2 * ones > counts[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
+
+
+def whole_fingerprint(shingles: np.ndarray) -> np.uint64:
+    """The SimHash of a non-empty set."""
+    return _votes(shingles, np.zeros(1, np.int64))[0]
+
+
+def levels(n: int) -> list[int]:
+    """The rates, as powers of a half, at which a set of ``n`` shingles meets sets of its size to the largest alike."""
+    return sorted({max(0, int(np.log2(k / SAMPLED))) for k in (n, 100 * n // _PERCENT)})
+
+
+def part_words(shingles: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """By part and word: the SimHash of the slice (0 if empty), and the number of its shingles."""
+    limit = np.uint64(((1 << 64) - 1) >> level)
+    rows, slices = [], []
     for at in range(0, len(shingles), _BLOCK):
-        np.minimum(least, ((shingles[at : at + _BLOCK, None] ^ _FLIPS) * _FACTORS).min(axis=0), out=least)
-    bands = _mixed(least.reshape(BANDS, ROWS) * _PLACES[:ROWS]).sum(axis=1, dtype=np.uint64)
-    return _mixed(bands + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
+        row, k = np.nonzero((shingles[at : at + _BLOCK, None] ^ _FLIPS) * _FACTORS <= limit)
+        rows.append(row + at)
+        slices.append(k)
+    rows, slices = np.concatenate(rows), np.concatenate(slices)
+    order = np.argsort(slices, kind="stable")
+    counts = np.bincount(slices, minlength=_SLICES)
+    some = counts > 0
+    words = np.zeros(_SLICES, np.uint64)
+    if len(rows):
+        words[some] = _votes(shingles[rows[order]], (np.cumsum(counts) - counts)[some])
+    return words.reshape(PARTS, WORDS_A_PART), counts.reshape(PARTS, WORDS_A_PART)
+
+
+def band_keys(shingles: np.ndarray) -> np.ndarray:
+    """The fingerprint of a non-empty set under the covering masks: a key by mask of the whole, and by rate, mask and part.
+
+    A key of fewer than two sampled shingles is 0 and stands for none.
+    """
+    if len(shingles) <= 3:
+        return np.zeros(0, np.int64)
+    masks = np.arange(len(_WHOLE_MASKS), dtype=np.uint64)
+    keys = [_mixed((whole_fingerprint(shingles) & _WHOLE_MASKS) * _PLACES[: len(masks)] + masks)]
+    for level in levels(len(shingles)):
+        words, counts = part_words(shingles, level)
+        placed = _mixed(words * _PLACES[:_SLICES].reshape(PARTS, WORDS_A_PART))
+        for m, kept in enumerate(_PART_MASKS):
+            table = (np.arange(PARTS, dtype=np.uint64) * np.uint64(len(_PART_MASKS)) + np.uint64(m + 1)) * np.uint64(64) + np.uint64(level)
+            found = _mixed(placed[:, kept].sum(axis=1, dtype=np.uint64) + _mixed(table))
+            keys.append(np.where(counts[:, kept].sum(axis=1) > 1, found, np.uint64(0)))
+    return np.concatenate(keys).view(np.int64)
 
 
 def sketch(shingles: np.ndarray) -> np.ndarray:
@@ -79,6 +145,11 @@ def sketch(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
+def _marks(shingles: np.ndarray) -> np.ndarray:
+    keys = band_keys(shingles)
+    return np.concatenate([sketch(shingles), keys[keys != 0]])
+
+
 def _class_of(shingles: np.ndarray) -> int:
     at = xxhash.xxh64_intdigest(shingles.tobytes())
     return at - (1 << 64) if at >> 63 else at
@@ -167,11 +238,11 @@ def drop_near_copies(docs: DataFrame, text_col: str = "text", small_bucket: int
     texts = keyed_docs.where(F.col("doc_id").isNotNull()).select("doc_id", "_h", text_col)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     made = f"doc_id {id_type}, _h long, _set long, _n long, _values array<long>"
-    marked = stored(_mapped(texts, text_col, lambda s: (len(s), np.concatenate([band_keys(s), sketch(s)])), made))
+    marked = stored(_mapped(texts, text_col, lambda s: (len(s), _marks(s)), made))
     least = marked.groupBy("_set").agg(F.min(F.struct("doc_id", "_h")).alias("_least"), F.first("_n").alias("_n"), F.first("_values").alias("_marks"))
     classes = stored(least)
 
-    keyed = classes.select("_set", "_n", F.explode(F.slice("_marks", 1, BANDS)).alias("key"))
+    keyed = classes.select("_set", "_n", F.explode(F.slice("_marks", F.lit(SKETCH + 1), F.size("_marks"))).alias("key"))
     sizes = stored(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
     members = stored(keyed.join(sizes, "key"))
     wanted = classes.join(members.select("_set").distinct(), "_set", "left_semi").select("_least.*")
@@ -179,7 +250,7 @@ def drop_near_copies(docs: DataFrame, text_col: str = "text", small_bucket: int
     some = _sieve(texts, wanted)[0].join(wanted, ["doc_id", "_h"], "left_semi")
     sets = stored(_mapped(some, text_col, lambda s: (len(s), s.view(np.int64)), made).dropDuplicates(["_set"]).select("_set", "_n", "_values"))
 
-    sketches = classes.select("_set", F.slice("_marks", BANDS + 1, SKETCH).alias("_sketch"))
+    sketches = classes.select("_set", F.slice("_marks", 1, SKETCH).alias("_sketch"))
     roots = connected_components(links(members, sets, sketches, small_bucket))
     rooted = classes.join(roots, classes["_set"] == roots["node"], "left")
     kept = stored(rooted.groupBy(F.coalesce("root", "_set").alias("_root")).agg(F.min("_least").alias("x")).select("x.*"))
