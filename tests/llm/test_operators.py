@@ -49,6 +49,19 @@ def test_spans_are_cut_and_the_rest_stays(spark):
     assert 1 not in out and out[2] == (None,) and out[3] == ("clean é text",)
 
 
+@pytest.mark.parametrize("block_bytes", [4_000_000, 60])
+def test_cutting_passes_texts_through_python_once_and_cuts_batches_of_many_rows(spark, block_bytes):
+    items = [(1, "alpha beta gamma delta epsilon zeta eta theta"), (2, "iota kappa lambda mu nu xi omicron pi rho"), (3, "v1 v2")]
+    own = lambda k: f"w{k} é " * 6
+    kinds = [lambda k: (own(k) + f"({items[k % 2][1].upper()})! é", own(k) + "()! é"), lambda k: (items[k % 2][1] + f" w{k}", None), lambda k: (None, ""), lambda k: (own(k) + "v1 v2",) * 2]
+    pairs = [kinds[k // 700 if k < 2100 else k % 4](k) for k in range(2800)]
+    rows = h.frame(spark, [t for t, _ in pairs]).coalesce(1)
+    cut = decontamination.remove_overlaps(rows, spark.createDataFrame(items, "item_id long, text string"), block_bytes=block_bytes)
+    assert cut._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    got = [(r["doc_id"], r["text"] or "") for r in cut.collect()]
+    assert sorted(got) == [(k, t) for k, (_, t) in enumerate(pairs) if t is not None]
+
+
 def test_components_equal_brute_force(docs):
     fps = {d: h.fingerprint_spec(t) for d, t in enumerate(h.texts())}
     roots = h.components_spec(fps)

@@ -7,7 +7,8 @@ A run of at least ``window`` words is a hit. The items are the stated query set
 Memory: items of at most ``block_bytes`` make one automaton, built once in each Python worker, and texts are not shuffled.
 More items go in blocks, one after the other: each block is broadcast, finds the texts that it hits, and is released, so
 neither the driver nor an executor holds more than one block whatever the items' size. Hits of the blocks are then
-joined to the rows by the hash of their text.
+joined to the rows by the hash of their text. A stage sends texts through Python once: each such pass has a worker of its own
+on every core, with a batch of texts in it. Cutting is therefore done where the hits are found, a few rows at a time.
 
 Defined cases: null or empty texts have no words and no hits; an item without words never matches; an item
 shorter than the window matches as a whole; repeated items or item ids count once; repeated rows get the same answer; empty
@@ -196,6 +197,8 @@ def automaton_of(key: str, block, window: int) -> SuffixAutomaton:
 
 
 _ANSWER = "_n_words bigint, _hits array<struct<s:bigint,e:bigint>>, _items array<string>"
+#: Rows of a batch that a cut gives at once.
+_ROWS = 512
 _HIT_TYPE = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
 
 
@@ -209,20 +212,25 @@ def find_overlaps(docs: DataFrame, items: DataFrame, window: int = 8, text_col:
     return found.select(*[F.col("_text" if c == text_col else working(c)).alias(c) for c in kept], *[F.col(c).alias(n) for c, n in zip(("_n_words", "_hits", "_items"), added, strict=True)])
 
 
-def _found(docs: DataFrame, items: DataFrame, kept: list[str], window: int, text_col: str, item_id: str, item_text: str, block_bytes: int) -> DataFrame:
-    """The ``kept`` columns renamed, ``_text``, ``_n_words``, ``_hits`` and ``_items``."""
+def _found(docs: DataFrame, items: DataFrame, kept: list[str], window: int, text_col: str, item_id: str, item_text: str, block_bytes: int, answered: Callable | None = None) -> DataFrame:
+    """The ``kept`` columns renamed, ``_text``, ``_n_words``, ``_hits`` and ``_items``.
+
+    ``answered`` takes what :func:`_answered` takes and gives batches of the renamed columns and ``_text`` instead.
+    """
+    schema = (lambda df: df.schema) if answered else _with_answer
+    answered = answered or _answered
     spark = docs.sparkSession
     rows = docs.select(column(text_col).alias("_text"), *[prefixed(c) for c in kept if c != text_col])
     blocks = _blocks(items, item_id, item_text, block_bytes)
     first, second = next(blocks, []), next(blocks, None)
     if second is None:
-        return rows.mapInArrow(_matcher(_of_block(spark.sparkContext.broadcast(first), window)), _with_answer(rows))
+        return rows.mapInArrow(_matcher(_of_block(spark.sparkContext.broadcast(first), window), answered), schema(rows))
     key = F.struct(F.xxhash64("_text").alias("a"), F.xxhash64(F.lit(1), "_text").alias("b"))
     texts = rows.select(key.alias("_key"), "_text")
     parts = []
     for given in _chained(first, second, blocks):
         block = spark.sparkContext.broadcast(given)
-        hit = texts.mapInArrow(_matcher(_of_block(block, window)), _with_answer(texts))
+        hit = texts.mapInArrow(_matcher(_of_block(block, window), _answered), _with_answer(texts))
         parts.append(stored(hit.where(F.size("_items") > 0).select("_key", "_hits", "_items").dropDuplicates(["_key"])))
         block.destroy()
     every = parts[0]
@@ -230,7 +238,7 @@ def _found(docs: DataFrame, items: DataFrame, kept: list[str], window: int, text
         every = every.unionByName(part)
     merged = every.groupBy("_key").agg(F.flatten(F.collect_list("_hits")).alias("_all"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("_items")))).alias("_names"))
     joined = join_small(rows.withColumn("_key", key), stored(merged), "_key", "left").drop("_key")
-    return joined.mapInArrow(_merger, _with_answer(joined.drop("_all", "_names")))
+    return joined.mapInArrow(_merger(answered), schema(joined.drop("_all", "_names")))
 
 
 def _chained(first: list, second: list, others: Iterator[list]) -> Iterator[list]:
@@ -254,14 +262,14 @@ def _with_answer(rows: DataFrame):
     return StructType([*rows.schema, *StructType.fromDDL(_ANSWER)])
 
 
-def _answered(batch: pa.RecordBatch, leave: tuple[str, ...], counts: list, hits: list, names: list) -> pa.RecordBatch:
-    cols = {n: batch.column(n) for n in batch.schema.names if n not in leave}
+def _answered(batch: pa.RecordBatch, counts: list, hits: list, names: list) -> Iterator[pa.RecordBatch]:
+    cols = {n: batch.column(n) for n in batch.schema.names}
     cols["_n_words"] = pa.array(counts, pa.int64())
     cols["_hits"] = pa.array([[{"s": s, "e": e} for s, e in x] for x in hits], _HIT_TYPE)
-    return pa.RecordBatch.from_pydict(cols | {"_items": pa.array(names, pa.list_(pa.string()))})
+    yield pa.RecordBatch.from_pydict(cols | {"_items": pa.array(names, pa.list_(pa.string()))})
 
 
-def _matcher(match: Callable):
+def _matcher(match: Callable, answered: Callable):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts, hits, names = [], [], []
@@ -271,40 +279,50 @@ def _matcher(match: Callable):
                 counts.append(len(words))
                 hits.append(spans)
                 names.append(sorted(found))
-            yield _answered(batch, (), counts, hits, names)
+            yield from answered(batch, counts, hits, names)
 
     return run
 
 
-def _merger(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        counts = [len(normalised(t.as_buffer().to_pybytes())) if t.is_valid else 0 for t in batch.column("_text")]
-        hits = [_merged([], [[x["s"], x["e"]] for x in h or ()]) for h in batch.column("_all").to_pylist()]
-        yield _answered(batch, ("_all", "_names"), counts, hits, [n or [] for n in batch.column("_names").to_pylist()])
-
-
-def _cutter(min_span: int):
+def _merger(answered: Callable):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = []
-            for text, hits in zip(batch.column("_text"), batch.column("_hits").to_pylist(), strict=True):
-                spans = [x for x in hits or () if x["e"] - x["s"] >= min_span]
-                if not spans or not text.is_valid:
-                    texts.append(text.as_py())
-                    continue
-                raw = text.as_py().encode()
-                folded, at, bounds = raw.translate(_FOLD), 0, []
-                for w in folded.split():
-                    at = folded.index(w, at)
-                    bounds.append((at, at + len(w)))
-                    at += len(w)
-                kept, at = [], 0
-                for x in spans:
-                    kept.append(raw[at : bounds[x["s"]][0]])
-                    at = bounds[x["e"] - 1][1]
-                texts.append((b"".join([*kept, raw[at:]])).decode())
-            cols = {n: batch.column(n) for n in batch.schema.names}
-            yield pa.RecordBatch.from_pydict(cols | {"_text": pa.array(texts, pa.string())})
+            counts = [len(normalised(t.as_buffer().to_pybytes())) if t.is_valid else 0 for t in batch.column("_text")]
+            hits = [_merged([], [[x["s"], x["e"]] for x in h or ()]) for h in batch.column("_all").to_pylist()]
+            names = [n or [] for n in batch.column("_names").to_pylist()]
+            yield from answered(batch.select([n for n in batch.schema.names if n not in ("_all", "_names")]), counts, hits, names)
+
+    return run
+
+
+def _without(raw: bytes, spans: list[list[int]]) -> bytes:
+    """A text without its words from start to end of each span."""
+    folded, at, bounds = raw.translate(_FOLD), 0, []
+    for w in folded.split():
+        at = folded.index(w, at)
+        bounds.append((at, at + len(w)))
+        at += len(w)
+    kept, at = [], 0
+    for s, e in spans:
+        kept.append(raw[at : bounds[s][0]])
+        at = bounds[e - 1][1]
+    return b"".join([*kept, raw[at:]])
+
+
+def _cutter(min_span: int, max_coverage: float):
+    """Cuts spans of ``min_span`` words or more; leaves out rows of which they cover more than ``max_coverage``."""
+
+    def run(batch: pa.RecordBatch, counts: list, hits: list, _names: list) -> Iterator[pa.RecordBatch]:
+        long_hits = [[x for x in h if x[1] - x[0] >= min_span] for h in hits]
+        kept = [k for k, h in enumerate(long_hits) if sum(e - s for s, e in h) <= counts[k] * max_coverage]
+        for at in range(0, len(kept), _ROWS):
+            rows = kept[at : at + _ROWS]
+            part = batch.take(pa.array(rows, pa.int64()))
+            texts = part.column("_text")
+            if any(long_hits[k] for k in rows):
+                raw = [t.as_buffer().to_pybytes() if t.is_valid else None for t in texts]
+                texts = pa.array([_without(t, long_hits[k]) if long_hits[k] else t for t, k in zip(raw, rows, strict=True)], pa.binary()).cast(texts.type, safe=False)
+            yield pa.RecordBatch.from_pydict({n: texts if n == "_text" else part.column(n) for n in part.schema.names})
 
     return run
 
@@ -316,11 +334,8 @@ def remove_overlaps(docs: DataFrame, items: DataFrame, window: int = 8, max_cove
     items shorter than the window are reported by :func:`find_overlaps` but not cut: they are ordinary phrases.
     Columns and their order stay; rows without a match are unchanged.
     """
-    found = _found(docs, items, docs.columns, window, text_col, **({"item_id": "item_id", "item_text": "text", "block_bytes": 4_000_000} | options))
-    long_hits = F.filter("_hits", lambda x: x["e"] - x["s"] >= window)
-    covered = F.aggregate(long_hits, F.lit(0).cast("bigint"), lambda a, x: a + x["e"] - x["s"])
-    found = found.where(covered <= F.col("_n_words") * F.lit(float(max_coverage))).drop("_items", "_n_words")
-    cut = found.mapInArrow(_cutter(window), found.schema)
+    options = {"item_id": "item_id", "item_text": "text", "block_bytes": 4_000_000} | options
+    cut = _found(docs, items, docs.columns, window, text_col, **options, answered=_cutter(window, float(max_coverage)))
     return cut.select(*[F.col("_text" if c == text_col else working(c)).alias(c) for c in docs.columns])
 
 
