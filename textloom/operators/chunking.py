@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from textloom.functions.arrow import slices
 
 #: Where a piece [start, end) of a text should end instead; ``half`` is half the piece's length.
 Break = Callable[[str, int, int, int], int]
@@ -79,19 +82,15 @@ def instruction_chunker(size: int = 1500) -> Chunker:
     return Chunker(size, 0, first_of("\n\n", ".\n", ". ", "\n"), min_words=20, overrun=False)
 
 
-def pieces(text: Column, chunker: Chunker) -> Column:
-    """The pieces of a text as an array; Arrow batches."""
-
-    @F.pandas_udf("array<string>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series([chunker.split(t or "") for t in texts])
-
-    return run(text)
-
-
 def chunk(docs: DataFrame, chunker: Chunker, text_col: str = "text") -> DataFrame:
-    """One row a piece: ``docs`` without its text, with chunk_index, n_chunks and chunk."""
+    """One row a piece: ``docs`` without its text, with chunk_index, n_chunks and chunk. Arrow batches, a slice of texts at a time."""
     others = [c for c in docs.columns if c != text_col]
-    cut = docs.select(*others, pieces(F.col(text_col), chunker).alias("_pieces"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "_text"):
+            cut = [chunker.split(t or "") for t in part.column("_text").to_pylist()]
+            yield part.drop_columns(["_text"]).append_column("_pieces", pa.array(cut, pa.list_(pa.string())))
+
+    rows = docs.select(*others, F.col(text_col).alias("_text"))
+    cut = rows.mapInArrow(run, T.StructType([*rows.drop("_text").schema.fields, T.StructField("_pieces", T.ArrayType(T.StringType()))]))
     return cut.select(*others, F.size("_pieces").alias("n_chunks"), F.posexplode("_pieces").alias("chunk_index", "chunk"))
