@@ -44,3 +44,7 @@ def test_format_qa_and_completion_take_texts_by_slices(docs, largest):
     assert chat.format_chat(docs, "qa", category_col="doc_id").count() == 120
     assert chat.format_chat(docs).where("n_chunks = 2").count() == 120
     assert largest() <= 4
+
+
+def test_instruction_pairs_take_texts_by_slices(docs, largest):
+    assert generation.instruction_pairs(docs.drop("metadata")).count() == 180 and largest() <= 4
