@@ -46,5 +46,9 @@ def test_format_qa_and_completion_take_texts_by_slices(docs, largest):
     assert largest() <= 4
 
 
+def test_question_pairs_take_texts_by_slices(docs, largest):
+    assert generation.qa_pairs(docs.drop("metadata")).count() == 300 and largest() <= 4
+
+
 def test_instruction_pairs_take_texts_by_slices(docs, largest):
     assert generation.instruction_pairs(docs.drop("metadata")).count() == 180 and largest() <= 4
