@@ -52,3 +52,8 @@ def test_question_pairs_take_texts_by_slices(docs, largest):
 
 def test_instruction_pairs_take_texts_by_slices(docs, largest):
     assert generation.instruction_pairs(docs.drop("metadata")).count() == 180 and largest() <= 4
+
+
+def test_token_stats_take_texts_by_slices(docs, largest):
+    row = packing.token_stats(packing.tokenize(docs.select("doc_id", F.col("text")), packing.ByteTokenizer())).first()
+    assert (row["total_examples"], row["truncated"]) == (60, 60) and largest() <= 4
