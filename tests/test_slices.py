@@ -46,6 +46,12 @@ def test_format_qa_and_completion_take_texts_by_slices(docs, largest):
     assert largest() <= 4
 
 
+def test_chunks_keep_other_columns(docs, largest):
+    rows = chunking.chunk(docs, chunking.chat_chunker()).collect()
+    assert all(r["metadata"] == {"a": "b"} for r in rows) and sorted({(r["doc_id"], r["chunk_index"]) for r in rows}) == [(k, i) for k in range(60) for i in (0, 1)]
+    assert largest() <= 4
+
+
 def test_question_pairs_take_texts_by_slices(docs, largest):
     assert generation.qa_pairs(docs.drop("metadata")).count() == 300 and largest() <= 4
 
